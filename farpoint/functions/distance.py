@@ -19,6 +19,8 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,9 +101,6 @@ def nearest_centre(xs: Sequence[Column], centres: Sequence[Sequence[float]],
 
 def _nearest_batched(xs: Sequence[Column], centres: Sequence[Sequence[float]],
                      key: str) -> Column:
-    import numpy as np
-    import pandas as pd
-
     for c in centres:
         _check(xs, c)
     grid = np.asarray(centres, dtype=np.float64)

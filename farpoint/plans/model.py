@@ -29,21 +29,20 @@ from ..operators import clustering
 from ..operators.detection import (DEFAULT_SIGMA, DistanceStats, distance_stats,
                                    rule_by_name, sigma_predicate, sqrt_predicate)
 from ..operators.features import FeatureModel, fit_features
-from ..session import default_parallelism
 
 DISTANCE_COL = "distance"
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Give an under-partitioned frame one partition per core.
+def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
+    """Optionally spread an under-partitioned frame over ``partitions`` tasks.
 
-    A large input already has far more scan partitions than cores and is left
-    alone (no shuffle); a small file read as one split would otherwise run
-    every k-means iteration in a single task.
+    Off by default: a large input already has far more scan partitions than
+    cores, and k-means|| initialisation depends on the partitioning, so the
+    default keeps the input's own split (as the reference does). A small
+    file read as one split can be spread to use every core for the fits.
     """
-    want = default_parallelism(frame.sparkSession)
-    if frame.rdd.getNumPartitions() < want:
-        return frame.repartition(want)
+    if partitions and frame.rdd.getNumPartitions() < partitions:
+        return frame.repartition(partitions)
     return frame
 
 
@@ -152,17 +151,18 @@ class AnomalyModel:
 def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
           k: int | None = None, k_min: int = clustering.K_MIN, k_max: int = clustering.K_MAX,
           seed: int = clustering.SEED, layout: str = "3n",
-          parallelism: int | None = None) -> AnomalyModel:
+          parallelism: int | None = None, partitions: int | None = None) -> AnomalyModel:
     """Fit the preparation and a clustering model on ``df``.
 
-    With ``k`` given, the silhouette search is skipped.
+    With ``k`` given, the silhouette search is skipped. ``parallelism`` runs
+    that many search fits at once; ``partitions`` spreads a small input.
     """
     algo = clustering.algorithm_by_name(algorithm)
     prep = fit_features(df, features, layout=layout)
     if prep.rows_kept == 0:
         raise ValueError("no rows left to train on (empty table, or every row has a "
                          "null string feature)")
-    frame = clustering.cached(spread(prep.vectors(df)))
+    frame = clustering.cached(spread(prep.vectors(df), partitions))
     try:
         if k is not None:
             model = clustering.fit(frame, algo, k, seed)

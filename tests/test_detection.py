@@ -1,0 +1,179 @@
+"""Train + detect: parity with the reference's MLlib chain (brute force on the
+driver for a small fixture), planted outliers, edge cases."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+
+from conftest import MALL_FEATURES
+from farpoint import train
+from farpoint.functions.alerts import ALERT_PREFIX, NONE_FOUND
+
+
+def reference_features(df, features):
+    """The reference's preparation, step by step with MLlib stages."""
+    sel = df.select(*features)
+    strings = [c for c in features if sel.schema[c].dataType.typeName() == "string"]
+    out = sel
+    for c in strings:
+        out = StringIndexer(inputCol=c, outputCol=c + "_index",
+                            handleInvalid="skip").fit(out).transform(out)
+    for c in strings:
+        out = out.drop(c)
+    out = VectorAssembler(inputCols=out.columns, outputCol="assembledFeatures").transform(out)
+    out = StandardScaler(inputCol="assembledFeatures",
+                         outputCol="scaledFeatures").fit(out).transform(out)
+    return VectorAssembler(inputCols=out.columns, outputCol="features").transform(out)
+
+
+def brute_force_flags(df, features, centres, metric, n_sigma):
+    """Driver-side loops over collected rows, as the reference does."""
+    feats = [np.asarray(r["features"].toArray()) for r in reference_features(df, features).collect()]
+    ids = [r[0] for r in df.collect()]
+    cs = [np.asarray(c) for c in centres]
+    if metric == "euclidean":
+        dist = [min(float(((f - c) ** 2).sum()) for c in cs) for f in feats]
+    else:
+        dist = [min(float(np.abs(f - c).sum()) for c in cs) for f in feats]
+    mean = sum(dist) / len(dist)
+    std = math.sqrt(sum((d - mean) ** 2 for d in dist) / (len(dist) - 1)) if len(dist) > 1 else 0.0
+    thr = mean + n_sigma * std
+    return sorted(i for i, d in zip(ids, dist) if d > thr), dist, thr
+
+
+@pytest.fixture(scope="module")
+def models(mall):
+    clean, _ = mall
+    return {"kMeans": train(clean, MALL_FEATURES, "kMeans"),
+            "bisectingKMeans": train(clean, MALL_FEATURES, "bisectingKMeans")}
+
+
+def test_vectors_equal_reference_chain(spark, mall):
+    clean, planted = mall
+    from farpoint.operators.features import fit_features
+    for df in (clean, planted):
+        prep = fit_features(df, MALL_FEATURES)
+        ours = [list(r["features"]) for r in prep.vectors(df).collect()]
+        ref = [list(r["features"]) for r in reference_features(df, MALL_FEATURES).collect()]
+        assert len(ours) == len(ref) == 200
+        for a, b in zip(ours, ref):
+            assert a == pytest.approx(b, rel=1e-12, abs=1e-12)
+
+
+def test_k_search_matches_reference_loop(spark, mall, models):
+    clean, _ = mall
+    feat = reference_features(clean, MALL_FEATURES).select("features").cache()
+    best_k, best = 0, 0.0
+    for k in range(3, 11):
+        pred = KMeans(k=k, seed=1, predictionCol="cluster").fit(feat).transform(feat)
+        s = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette").evaluate(pred)
+        if s > best:
+            best_k, best = k, s
+    feat.unpersist()
+    model = models["kMeans"]
+    assert model.k == best_k
+    assert model.silhouettes[best_k] == pytest.approx(best, rel=1e-9)
+
+
+@pytest.mark.parametrize("algorithm,n_sigma", [("kMeans", 4.0), ("bisectingKMeans", 3.0)])
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_planted_outliers_match_brute_force(spark, mall, models, algorithm, n_sigma, metric):
+    clean, planted = mall
+    model = models[algorithm]
+    assert model.k == 4                     # FIXTURES.md §1
+    for df in (clean, planted):
+        det = model.detect(df, metric)
+        assert det.n_sigma == n_sigma
+        got = sorted(r["id"] for r in det.flagged.select("id").collect())
+        want, _, thr = brute_force_flags(df, MALL_FEATURES, model.centres, metric, n_sigma)
+        assert got == want
+        assert det.threshold == pytest.approx(thr, rel=1e-9)
+    planted_ids = sorted(r["id"] for r in model.detect(planted, metric).flagged.collect())
+    assert planted_ids == [50, 72]
+
+
+def test_fixture_table_clean_flags(spark, mall, models):
+    clean, _ = mall
+    km = models["kMeans"]
+    assert km.detect(clean, "euclidean").flagged.count() == 0
+    bk = models["bisectingKMeans"]
+    assert sorted(r["id"] for r in bk.detect(clean, "euclidean").flagged.collect()) == [0, 157]
+    assert bk.detect(clean, "manhattan").flagged.count() == 0
+
+
+def test_alert_text_form(spark, mall, models):
+    clean, planted = mall
+    model = models["kMeans"]
+    lines = sorted(model.detect(planted).report())
+    # Formula fixture: row 50 is (Female, 18, 65) with the planted score 150.
+    assert lines == [ALERT_PREFIX + "51: [50,Female,18,65,150]",
+                     ALERT_PREFIX + "73: [72,Female,150,111,37]"]
+    assert model.detect(clean).report() == [NONE_FOUND]
+
+
+def test_refit_false_reuses_training_fit(spark, mall, models):
+    clean, planted = mall
+    model = models["kMeans"]
+    det = model.detect(planted, refit=False)
+    assert sorted(r["id"] for r in det.flagged.collect()) == [50, 72]
+
+
+def test_sqrt_rule_is_d_over_4(spark, mall):
+    clean, _ = mall
+    model = train(clean, MALL_FEATURES, "kMeans", k=4)
+    det = model.detect(clean, rule="sqrt")
+    rows = det.flagged.select("distance").collect()
+    assert all(r[0] > 4.0 for r in rows)
+    assert det.flagged.count() == det.scored.where("distance > 4").count()
+
+
+def test_strict_greater_than(spark):
+    from farpoint.operators.detection import sigma_predicate
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1.0,), (2.0,)], "d double")
+    assert df.where(sigma_predicate(F.col("d"), 2.0)).count() == 0
+
+
+def test_one_row_nothing_flagged(spark, mall):
+    clean, _ = mall
+    model = train(clean, MALL_FEATURES, "kMeans", k=4)
+    one = clean.limit(1)
+    det = model.detect(one)
+    assert det.stats.std == 0.0 and det.flagged.count() == 0
+
+
+def test_17_rows_never_flag_at_4_sigma(spark, mall):
+    clean, planted = mall
+    model = train(clean, MALL_FEATURES, "kMeans", k=4)
+    small = planted.where("id >= 40 and id < 57")     # contains the planted id 50
+    assert small.count() == 17
+    assert model.detect(small).flagged.count() == 0
+
+
+def test_identical_rows_raise(spark):
+    df = spark.createDataFrame([(1.0,)] * 6, "x double")
+    with pytest.raises(ValueError):
+        train(df, ["x"], "kMeans")
+
+
+def test_bad_algorithm_and_id(spark, mall):
+    clean, _ = mall
+    with pytest.raises(ValueError):
+        train(clean, MALL_FEATURES, "dbscan")
+    model = train(clean, MALL_FEATURES, "kMeans", k=3)
+    with pytest.raises(ValueError, match="integer"):
+        model.detect(clean.select("Genre", "Age", "AnnualIncome", "SpendingScore"))
+
+
+def test_null_string_rows_report_their_own_values(spark, mall, models):
+    """A skipped row does not shift later reports (the reference's J1 bug)."""
+    from pyspark.sql import functions as F
+    clean, planted = mall
+    model = models["kMeans"]
+    holes = planted.withColumn("Genre", F.when(F.col("id") == 10, None).otherwise(F.col("Genre")))
+    lines = sorted(model.detect(holes).report())
+    assert lines[0] == ALERT_PREFIX + "51: [50,Female,18,65,150]"
