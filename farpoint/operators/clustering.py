@@ -6,10 +6,10 @@ from 0 (so a search with no positive silhouette finds nothing and raises).
 The winning search model is kept; there is no ninth refit, which would give
 the same model for the same data, seed and k.
 
-The fits read one cached frame holding only the coordinate vector. Fits for
-different k are independent jobs, so they can run from a few driver threads
-at once (``parallelism``); the winner is chosen in k order afterwards, so the
-result does not depend on it.
+The fits read one written frame holding only the coordinate vector. Fits for
+different k are independent jobs, so on small tables they run from a few
+driver threads at once (``parallelism``); the winner is chosen in k order
+afterwards, so the result does not depend on it.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 
-from ..session import default_parallelism
 
 # Fixed values from the reference: k range, seed, algorithm names.
 K_MIN = 3
@@ -98,7 +96,8 @@ def search_k(frame: DataFrame, algorithm: str, k_min: int = K_MIN, k_max: int =
         return k, model, silhouette(pred, features_col, "cluster")
 
     if parallelism is None:
-        parallelism = min(len(ks), max(1, default_parallelism(frame.sparkSession) // 2))
+        parallelism = 1
+    parallelism = min(parallelism, len(ks))
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             results = list(pool.map(run, ks))
@@ -114,8 +113,13 @@ def search_k(frame: DataFrame, algorithm: str, k_min: int = K_MIN, k_max: int =
     return SearchResult(best_k, best_model, {k: s for k, _, s in results})
 
 
-def cached(frame: DataFrame) -> DataFrame:
-    """Persist a training frame and materialise it once before the fits."""
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    frame.count()
-    return frame
+# Concurrent search fits each hold their own persisted copy of the training
+# points (about 8 bytes per coordinate plus ~96 bytes of object overhead per
+# row). They run at once only while all copies fit this budget; a large
+# table runs one fit at a time, which already fills the cluster.
+PARALLEL_SEARCH_BUDGET_BYTES = 2 * 1024 ** 3
+
+
+def default_search_parallelism(rows: int, dimension: int, fits: int = K_MAX - K_MIN + 1) -> int:
+    per_copy = max(1, rows) * (8 * max(1, dimension) + 96)
+    return int(max(1, min(fits, PARALLEL_SEARCH_BUDGET_BYTES // per_copy)))
