@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,13 +181,19 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
              .groupBy("pos", "label").agg(*aggs))
 
     # One row per distinct label plus one: collect only when within the bound.
-    head = stats.limit(max_local_labels + 2).collect()
-    local = len(head) <= max_local_labels + 1
-    if not local:
-        stats = _written(stats)
-        top = stats.where(F.col("pos") == 0).collect()
-    else:
-        top = [r for r in head if r["pos"] == 0]
+    # The (label-sized) result is persisted so that, past the bound, writing
+    # it out reuses the same shuffle instead of scanning the table again.
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        head = stats.limit(max_local_labels + 2).collect()
+        local = len(head) <= max_local_labels + 1
+        if not local:
+            stats = _written(stats)
+            top = stats.where(F.col("pos") == 0).collect()
+        else:
+            top = [r for r in head if r["pos"] == 0]
+    finally:
+        stats.unpersist()
     row0 = top[0] if top else None
     rows_seen = int(row0["n_fit"]) if row0 else 0
     rows_kept = int(row0["n_kept"] or 0) if row0 else 0

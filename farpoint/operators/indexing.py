@@ -3,11 +3,18 @@
 Order rule (same as MLlib's ``StringIndexer`` default ``frequencyDesc``): the
 most frequent label gets index 0; equal counts are ordered alphabetically.
 
-Small label sets (the usual case: segments, event types, genders) are ranked
-on the driver from an already-aggregated, size-checked table and joined back
-with a broadcast hash join. Large label sets never reach the driver: they are
-ranked with a distributed sort plus per-partition offsets and joined with a
-shuffle join, where AQE splits a hot label's partition.
+Three tiers, chosen from an exact, size-checked label count:
+
+* up to ``INLINE_LABELS`` labels per column (the usual case: segments, event
+  types, genders): a literal map lookup inside the projection - no join, no
+  broadcast job, stays in whole-stage codegen;
+* up to the caller's local bound: ranked on the driver from the aggregated
+  table and joined back with a broadcast hash join;
+* beyond: never on the driver - ranked with a distributed sort plus
+  per-partition offsets and joined with a shuffle join, where AQE splits a
+  hot label's partition.
+
+All three drop rows with a null or unknown label, like "skip".
 """
 
 from __future__ import annotations
@@ -20,22 +27,34 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
+# Largest label set per column inlined as a literal map in the projection.
+INLINE_LABELS = 1024
+
 
 @dataclass
 class LabelTable:
     """Fitted label → index mapping for one string column."""
 
     column: str
-    frame: DataFrame      # columns: <label_col> string, <index_col> double
+    frame: DataFrame | None   # columns: <label_col> string, <index_col> double
     label_col: str
     index_col: str
     size: int             # number of labels
     local: bool           # small enough to broadcast (size was checked)
     mean: float           # mean of the index over the kept rows
     std: float            # sample std of the index over the kept rows
+    mapping: dict[str, float] | None = None   # set for inline-sized tables
 
     def join_onto(self, df: DataFrame) -> DataFrame:
-        """Inner join: rows with a null or unknown label are skipped."""
+        """Add the index column; rows with a null or unknown label are skipped."""
+        if self.mapping is not None:
+            if not self.mapping:
+                return df.where(F.lit(False)).withColumn(self.index_col,
+                                                         F.lit(None).cast("double"))
+            lookup = F.create_map(*[x for k, v in self.mapping.items()
+                                    for x in (F.lit(k), F.lit(v))])
+            out = df.withColumn(self.index_col, F.try_element_at(lookup, F.col(self.column)))
+            return out.where(F.col(self.index_col).isNotNull())
         right = F.broadcast(self.frame) if self.local else self.frame
         joined = df.join(right, df[self.column] == right[self.label_col], "inner")
         return joined.drop(self.label_col)
@@ -68,6 +87,10 @@ def local_label_tables(spark: SparkSession, columns: list[str],
         mine.sort(key=lambda r: (-r[2], r[1]))
         data = [(r[1], float(i)) for i, r in enumerate(mine)]
         mean, std = weighted_mean_std([(float(i), r[3]) for i, r in enumerate(mine)])
+        if len(data) <= INLINE_LABELS:
+            tables.append(LabelTable(name, None, label_cols[pos - 1], index_cols[pos - 1],
+                                     len(data), True, mean, std, dict(data)))
+            continue
         schema = f"`{label_cols[pos - 1]}` string, `{index_cols[pos - 1]}` double"
         frame = spark.createDataFrame(data, schema)
         tables.append(LabelTable(name, frame, label_cols[pos - 1], index_cols[pos - 1],

@@ -29,7 +29,7 @@ from ..operators import clustering
 from ..operators.detection import (DEFAULT_SIGMA, DistanceStats, distance_stats,
                                    rule_by_name, sigma_predicate, sqrt_predicate)
 from ..operators.features import FeatureModel, fit_features
-from ..session import materialise
+from ..session import materialise, tune_codegen
 
 DISTANCE_COL = "distance"
 
@@ -68,10 +68,10 @@ class Detection:
         """A5."""
         return not self.flagged.isEmpty()
 
-    def report(self, n: int | None = None) -> list[str]:
-        """Console form (K4): alert lines, or the none-found message."""
-        df = self.alerts()
-        lines = [r["value"] for r in (df.take(n) if n else df.collect())]
+    def report(self, n: int = 20) -> list[str]:
+        """Console form (K4): the first ``n`` alert lines, or the none-found
+        message. Only ``n`` rows reach the driver; use a sink for all."""
+        lines = [r["value"] for r in self.alerts().take(n)]
         return lines or [NONE_FOUND]
 
 
@@ -96,6 +96,7 @@ class AnomalyModel:
               preparation: FeatureModel | None = None) -> tuple[DataFrame, list[str]]:
         """Source columns + ``distance`` for every kept row (D4 + J1)."""
         metric = metric_by_name(metric)
+        tune_codegen(df.sparkSession)
         source_columns = list(df.columns)
         if DISTANCE_COL in source_columns:
             raise ValueError(f"the scored table already has a {DISTANCE_COL!r} column")
