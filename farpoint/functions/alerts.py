@@ -31,16 +31,30 @@ def resolve_id_column(df: DataFrame, id_col: str | None) -> str:
     return name
 
 
-def row_text(columns: list[str]) -> Column:
+def value_text(column: str, dtype: T.DataType | None = None) -> Column:
+    """One value as the reference prints it (Java ``toString`` forms).
+
+    Spark's string cast matches Java for numbers, strings and booleans; a
+    timestamp on a whole second gets Java's ``.0`` fraction.
+    """
+    text = F.col(column).cast("string")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        text = F.when(F.instr(text, ".") == 0, F.concat(text, F.lit(".0"))).otherwise(text)
+    return F.coalesce(text, F.lit("null"))
+
+
+def row_text(columns: list[str], types: dict[str, T.DataType] | None = None) -> Column:
     """``[v1,v2,...]`` with nulls printed as ``null`` (concat_ws alone skips nulls)."""
-    vals = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+    types = types or {}
+    vals = [value_text(c, types.get(c)) for c in columns]
     return F.concat(F.lit("["), F.concat_ws(",", *vals), F.lit("]"))
 
 
-def alert_text(id_col: str, columns: list[str], prefix: str = ALERT_PREFIX) -> Column:
+def alert_text(id_col: str, columns: list[str], prefix: str = ALERT_PREFIX,
+               types: dict[str, T.DataType] | None = None) -> Column:
     """Alert line for one row as a string column."""
     line = (F.col(id_col).cast("long") + F.lit(1)).cast("string")
-    return F.concat(F.lit(prefix), line, F.lit(": "), row_text(columns))
+    return F.concat(F.lit(prefix), line, F.lit(": "), row_text(columns, types))
 
 
 def format_alerts(df: DataFrame, id_col: str | None = None,
@@ -48,4 +62,5 @@ def format_alerts(df: DataFrame, id_col: str | None = None,
     """One ``value`` string column, one alert line per row of ``df``."""
     cols = list(columns) if columns is not None else list(df.columns)
     name = resolve_id_column(df.select(*cols), id_col)
-    return df.select(alert_text(name, cols).alias("value"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(alert_text(name, cols, types=types).alias("value"))

@@ -103,7 +103,7 @@ def q_column_names(spark, sf_dir):
 
 def q_preview(spark, sf_dir):
     """First 20 events by id."""
-    return preview(table(spark, sf_dir, "events").drop("ts"), 20, ["event_id"])
+    return preview(table(spark, sf_dir, "events"), 20, ["event_id"])
 
 
 def q_schema_fields(spark, sf_dir):

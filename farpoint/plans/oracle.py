@@ -64,9 +64,15 @@ def _flagged(kind: str, n_sigma: float) -> str:
             f"WHERE d > mu + {n_sigma} * sdv")
 
 
-def _alert(id_col: str, cols: list[tuple[str, bool]], source: str) -> str:
-    vals = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" if cast else f"coalesce({c}, 'null')"
-                     for c, cast in cols)
+def _text(c: str, kind) -> str:
+    if kind == "ts":   # Java prints a whole second as ".0"
+        return (f"coalesce(CASE WHEN microsecond({c}) % 1000000 = 0 THEN CAST({c} AS VARCHAR) "
+                f"|| '.0' ELSE CAST({c} AS VARCHAR) END, 'null')")
+    return f"coalesce(CAST({c} AS VARCHAR), 'null')" if kind else f"coalesce({c}, 'null')"
+
+
+def _alert(id_col: str, cols: list[tuple[str, object]], source: str) -> str:
+    vals = ", ".join(_text(c, kind) for c, kind in cols)
     return (f"SELECT '{_PREFIX}' || CAST({id_col} + 1 AS VARCHAR) || ': [' || "
             f"concat_ws(',', {vals}) || ']' AS value FROM {source}")
 
@@ -115,8 +121,7 @@ ORACLE_SQL: dict[str, str] = {
     "kafka_decode": "SELECT event_id, event_type, value FROM events",
     "column_names": "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name "
                     "FROM (DESCRIBE customer)",
-    "preview": "SELECT event_id, user_id, event_type, value, props FROM events "
-               "ORDER BY event_id LIMIT 20",
+    "preview": "SELECT * FROM events ORDER BY event_id LIMIT 20",
     "schema_fields": "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, "
                      "CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer' "
                      "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
@@ -185,7 +190,7 @@ FROM t2 CROSS JOIN sd""",
                                        ("c_mktsegment", False)], "customer"),
     "flagged_alerts": _scored("euclid") + ", fl AS (SELECT e.* FROM events e JOIN d "
     "ON e.event_id = d.event_id CROSS JOIN st WHERE d.d > st.mu + 4 * st.sdv)\n" +
-    _alert("event_id", [("event_id", True), ("ts", True), ("user_id", True), ("event_type", False),
+    _alert("event_id", [("event_id", True), ("ts", "ts"), ("user_id", True), ("event_type", False),
                         ("value", True), ("props", False)], "fl"),
     "text_sink_append": "WITH a AS (" + _alert("event_id", [("event_id", True),
                                                             ("event_type", False),

@@ -177,3 +177,21 @@ def test_null_string_rows_report_their_own_values(spark, mall, models):
     holes = planted.withColumn("Genre", F.when(F.col("id") == 10, None).otherwise(F.col("Genre")))
     lines = sorted(model.detect(holes).report())
     assert lines[0] == ALERT_PREFIX + "51: [50,Female,18,65,150]"
+
+
+def test_refit_false_null_numeric_raises(spark, mall, models):
+    from pyspark.sql import functions as F
+    clean, _ = mall
+    holes = clean.withColumn("Age", F.when(F.col("id") == 3, None).otherwise(F.col("Age")))
+    with pytest.raises(ValueError, match="null or NaN"):
+        models["kMeans"].detect(holes, refit=False)
+    with pytest.raises(ValueError, match="null"):
+        models["kMeans"].detect(holes)           # the refit rejects it first
+
+
+def test_timestamp_alert_text_java_form(spark):
+    from farpoint.functions.alerts import format_alerts
+    df = spark.sql("select 0 as id, timestamp_ntz'2024-01-01 00:00:07' as a, "
+                   "timestamp_ntz'2024-01-01 00:00:07.25' as b")
+    assert format_alerts(df).first()[0] == (
+        ALERT_PREFIX + "1: [0,2024-01-01 00:00:07.0,2024-01-01 00:00:07.25]")

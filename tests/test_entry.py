@@ -16,8 +16,7 @@ FAST = ["csv_scan", "json_scan", "kafka_decode", "column_names", "preview", "sch
 def test_contract_keys():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"train_detect_kmeans", "train_detect_bisecting",
-                                  "k_search_kmeans", "k_search_bisecting"} - set(sql)
+    assert set(qs) - set(sql) == {"train_detect_kmeans", "train_detect_bisecting"}
 
 
 def test_entry_flags_rows(spark):
