@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -40,7 +40,6 @@ class JobConfig:
     output: str = "file"
     output_path: str | None = None
     output_topic: str | None = None
-    options: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -104,6 +103,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     try:
         res = run_job(spark, cfg)
+        for line in res.detection.report(20):       # K4: console lines
+            print(line)
         print(json.dumps({"k": res.model.k, "found": res.found,
                           "threshold": res.detection.threshold}))
     finally:

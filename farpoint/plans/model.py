@@ -29,7 +29,7 @@ from ..operators import clustering
 from ..operators.detection import (DEFAULT_SIGMA, DistanceStats, distance_stats,
                                    rule_by_name, sigma_predicate, sqrt_predicate)
 from ..operators.features import FeatureModel, fit_features
-from ..session import materialise, tune_codegen
+from ..session import drop_path, materialise_at, tune_codegen
 
 DISTANCE_COL = "distance"
 
@@ -175,17 +175,22 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
         raise ValueError("no rows left to train on (empty table, or every row has a "
                          "null string feature)")
     frame = spread(prep.vectors(df), partitions)
+    written = None
     if cache:
-        frame = materialise(frame, "train-coords")
+        frame, written = materialise_at(frame, "train-coords")
     if parallelism is None:
         parallelism = clustering.default_search_parallelism(
             prep.rows_kept, prep.dimension, k_max - k_min + 1)
-    if k is not None:
-        model = clustering.fit(frame, algo, k, seed)
-        scores: dict[int, float] = {}
-        best_k = k
-    else:
-        found = clustering.search_k(frame, algo, k_min, k_max, seed, parallelism=parallelism)
-        model, scores, best_k = found.model, found.scores, found.k
+    try:
+        if k is not None:
+            model = clustering.fit(frame, algo, k, seed)
+            scores: dict[int, float] = {}
+            best_k = k
+        else:
+            found = clustering.search_k(frame, algo, k_min, k_max, seed, parallelism=parallelism)
+            model, scores, best_k = found.model, found.scores, found.k
+    finally:
+        if written is not None:     # the model keeps only centres, not the table
+            drop_path(df.sparkSession, written)
     centres = [list(map(float, c)) for c in model.clusterCenters()]
     return AnomalyModel(algo, list(features), centres, prep, best_k, seed, scores, model)

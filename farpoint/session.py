@@ -93,10 +93,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     plan (which may contain a full scan), and the values are fixed even when
     the plan holds non-deterministic parts such as partition ids.
     """
+    return materialise_at(df, name)[0]
+
+
+def materialise_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialise`` that also returns the written path (for ``drop_path``)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table this library wrote, through Hadoop's FileSystem API
+    (works for the shared store the checkpoint folder lives on)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)
 
 
 def default_parallelism(spark: SparkSession) -> int:
