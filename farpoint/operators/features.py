@@ -143,14 +143,15 @@ def _label_col(pos: int) -> str:
     return f"__fp_label_{pos}"
 
 
-def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
-                 max_local_labels: int = MAX_LOCAL_LABELS) -> FeatureModel:
-    """Fit indexing and scaling on ``df`` (one scan of the chosen columns)."""
-    if layout not in LAYOUTS:
-        raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
-    numeric, strings = split_features(df, features)
-    spark = df.sparkSession
-
+def fit_statistics(df: DataFrame, numeric: list[str], strings: list[str]) -> DataFrame:
+    """The one-scan fitting aggregate, as a lazy DataFrame.
+
+    One output row per (position, label): position 0 (label null) carries the
+    row counts and, per numeric column i, ``std{i}``, ``cnt{i}``, ``nan{i}``
+    over rows kept by every null skip; position j >= 1 carries, for string
+    column j, each label's count ``n_fit`` over rows whose strings 1..j are
+    non-null (the ordering count) and ``n_kept`` over fully kept rows.
+    """
     # prefix[j]: strings 0..j are all non-null (row survives indexer j).
     prefix: list[Column] = []
     cond = None
@@ -176,9 +177,19 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
         x = F.col(f"x{i}")
         aggs += [F.stddev_samp(x).alias(f"std{i}"), F.count(x).alias(f"cnt{i}"),
                  F.sum(F.when(F.isnan(x), 1).otherwise(0)).alias(f"nan{i}")]
-    stats = (df.select(F.inline(F.array(*records)))
-             .where(F.col("w_fit") == 1)
-             .groupBy("pos", "label").agg(*aggs))
+    return (df.select(F.inline(F.array(*records)))
+            .where(F.col("w_fit") == 1)
+            .groupBy("pos", "label").agg(*aggs))
+
+
+def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
+                 max_local_labels: int = MAX_LOCAL_LABELS) -> FeatureModel:
+    """Fit indexing and scaling on ``df`` (one scan of the chosen columns)."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
+    numeric, strings = split_features(df, features)
+    spark = df.sparkSession
+    stats = fit_statistics(df, numeric, strings)
 
     # One row per distinct label plus one: collect only when within the bound.
     # The (label-sized) result is persisted so that, past the bound, writing
