@@ -132,11 +132,15 @@ class FeatureModel:
         cols = self.layout_columns()
         return out.select("*", *[c.alias(f"f_{i}") for i, c in enumerate(cols)])
 
-    def vectors(self, df: DataFrame, output_col: str = "features") -> DataFrame:
-        """One MLlib vector column with the clustering coordinates."""
+    def vectors(self, df: DataFrame, output_col: str = "features",
+                keep: list[str] | None = None) -> DataFrame:
+        """One MLlib vector column with the clustering coordinates (plus the
+        ``keep`` columns, e.g. a key)."""
         from pyspark.ml.functions import array_to_vector
-        indexed = self.index(df.select(*self.features))
-        return indexed.select(array_to_vector(F.array(*self.layout_columns())).alias(output_col))
+        keep = [c for c in (keep or []) if c not in self.features]
+        indexed = self.index(df.select(*keep, *self.features))
+        return indexed.select(*keep, array_to_vector(F.array(*self.layout_columns()))
+                              .alias(output_col))
 
 
 def _label_col(pos: int) -> str:

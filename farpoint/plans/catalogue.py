@@ -302,7 +302,9 @@ def _fit_rank(spark, sf_dir, algorithm):
     model = train(nation, ["x"], algorithm, k=5)
     order = sorted(range(len(model.centres)), key=lambda i: model.centres[i][0])
     rank = {i: r for r, i in enumerate(order)}
-    assigned = model.assign(nation, refit=False)
+    # MLlib's own assignment of each point to a cluster.
+    points = model.preparation.vectors(nation, keep=["n_nationkey"])
+    assigned = clustering.assign(model.mllib_model, points)
     mapping = F.create_map(*[x for i, r in rank.items() for x in (F.lit(i), F.lit(r))])
     return assigned.select("n_nationkey", mapping[F.col("prediction")].cast("int").alias("cluster"))
 

@@ -195,3 +195,13 @@ def test_timestamp_alert_text_java_form(spark):
                    "timestamp_ntz'2024-01-01 00:00:07.25' as b")
     assert format_alerts(df).first()[0] == (
         ALERT_PREFIX + "1: [0,2024-01-01 00:00:07.0,2024-01-01 00:00:07.25]")
+
+
+def test_empty_after_skip_gives_empty_result(spark, mall, models):
+    from pyspark.sql import functions as F
+    clean, _ = mall
+    none_left = clean.withColumn("Genre", F.lit(None).cast("string"))
+    det = models["kMeans"].detect(none_left)
+    assert det.scored.count() == 0 and det.flagged.count() == 0 and not det.found()
+    with pytest.raises(ValueError, match="no rows"):
+        train(none_left, MALL_FEATURES, "kMeans")
