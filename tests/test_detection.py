@@ -205,3 +205,25 @@ def test_empty_after_skip_gives_empty_result(spark, mall, models):
     assert det.scored.count() == 0 and det.flagged.count() == 0 and not det.found()
     with pytest.raises(ValueError, match="no rows"):
         train(none_left, MALL_FEATURES, "kMeans")
+
+
+def test_refit_false_skips_unseen_labels(spark, mall, models):
+    from pyspark.sql import functions as F
+    clean, planted = mall
+    other = planted.withColumn("Genre", F.when(F.col("id") == 7, "Other").otherwise(F.col("Genre")))
+    det = models["kMeans"].detect(other, refit=False)
+    assert det.scored.count() == 199
+    assert det.scored.where("id = 7").count() == 0
+
+
+def test_options_scaled_layout_root_metric_sigma(spark, mall):
+    clean, planted = mall
+    model = train(clean, MALL_FEATURES, "kMeans", k=4, layout="scaled")
+    assert len(model.centres[0]) == 4
+    det = model.detect(planted, "euclidean_root", n_sigma=2.5)
+    assert det.n_sigma == 2.5
+    ids = {r["id"] for r in det.flagged.collect()}
+    assert {50, 72} <= ids
+    sq = model.detect(planted, "euclidean").scored.select("id", "distance").collect()
+    rt = dict((r["id"], r["distance"]) for r in det.scored.select("id", "distance").collect())
+    assert all(abs(rt[r["id"]] - r["distance"] ** 0.5) < 1e-9 for r in sq)
