@@ -29,9 +29,12 @@ from pyspark.sql import types as T
 
 from .indexing import LabelTable, distributed_label_tables, local_label_tables
 
-# Largest total number of distinct labels ranked on the driver and
-# broadcast; above it the distributed path is used.
+# Largest label table ranked on the driver and broadcast: both the number
+# of distinct labels (all string columns together) and their total UTF-8
+# size are checked before anything is collected; above either bound the
+# distributed path is used.
 MAX_LOCAL_LABELS = 100_000
+MAX_LOCAL_LABEL_BYTES = 32 * 1024 * 1024
 
 LAYOUTS = ("3n", "scaled")
 
@@ -195,20 +198,23 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
     spark = df.sparkSession
     stats = fit_statistics(df, numeric, strings)
 
-    # One row per distinct label plus one: collect only when within the bound.
-    # The (label-sized) result is persisted so that, past the bound, writing
-    # it out reuses the same shuffle instead of scanning the table again.
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    # One row per distinct label plus one: collect only when within the
+    # bounds. The (label-sized) result is persisted, so the size check, the
+    # collect or the write-out all reuse one scan of the table.
+    held = stats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        head = stats.limit(max_local_labels + 2).collect()
-        local = len(head) <= max_local_labels + 1
+        size = held.agg(F.count(F.lit(1)).alias("n"),
+                        F.sum(F.octet_length("label")).alias("bytes")).first()
+        local = (int(size["n"]) <= max_local_labels + 1
+                 and int(size["bytes"] or 0) <= MAX_LOCAL_LABEL_BYTES)
+        head = held.collect() if local else []
         if not local:
-            stats = _written(stats)
+            stats = _written(held)
             top = stats.where(F.col("pos") == 0).collect()
         else:
             top = [r for r in head if r["pos"] == 0]
     finally:
-        stats.unpersist()
+        held.unpersist()
     row0 = top[0] if top else None
     rows_seen = int(row0["n_fit"]) if row0 else 0
     rows_kept = int(row0["n_kept"] or 0) if row0 else 0

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-# Largest label set per column inlined as a literal map in the projection.
+# Largest label set per column inlined as a literal map in the projection
+# (by count and by total UTF-8 size, which bounds the plan's size).
 INLINE_LABELS = 1024
+INLINE_LABEL_BYTES = 256 * 1024
 
 
 @dataclass
@@ -87,7 +89,8 @@ def local_label_tables(spark: SparkSession, columns: list[str],
         mine.sort(key=lambda r: (-r[2], r[1]))
         data = [(r[1], float(i)) for i, r in enumerate(mine)]
         mean, std = weighted_mean_std([(float(i), r[3]) for i, r in enumerate(mine)])
-        if len(data) <= INLINE_LABELS:
+        if (len(data) <= INLINE_LABELS
+                and sum(len(lbl.encode("utf-8")) for lbl, _ in data) <= INLINE_LABEL_BYTES):
             tables.append(LabelTable(name, None, label_cols[pos - 1], index_cols[pos - 1],
                                      len(data), True, mean, std, dict(data)))
             continue

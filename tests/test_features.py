@@ -122,3 +122,22 @@ def test_distributed_labels_equal_local(spark):
     b = sorted(tuple(r) for r in dist.index(df).select(*cols).collect())
     assert a == b
     assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(local.stds, dist.stds))
+
+
+def test_label_byte_bounds_choose_tier(spark, monkeypatch):
+    """Few but long labels: the byte bounds, not only the counts, pick the tier."""
+    from farpoint.operators import features as feat
+    from farpoint.operators import indexing
+    customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    base = fit_features(customer, ["c_name", "c_acctbal"])
+    assert base.labels[0].mapping is not None                      # inline
+    monkeypatch.setattr(indexing, "INLINE_LABEL_BYTES", 100)
+    mid = fit_features(customer, ["c_name", "c_acctbal"])
+    assert mid.labels[0].mapping is None and mid.labels[0].local     # broadcast join
+    monkeypatch.setattr(feat, "MAX_LOCAL_LABEL_BYTES", 100)
+    big = fit_features(customer, ["c_name", "c_acctbal"])
+    assert not big.labels[0].local                                  # distributed
+    cols = ["c_custkey", "c_name_index"]
+    want = sorted(tuple(r) for r in base.index(customer).select(*cols).collect())
+    for prep in (mid, big):
+        assert sorted(tuple(r) for r in prep.index(customer).select(*cols).collect()) == want
