@@ -4,9 +4,10 @@ The reference reads Kafka as one bounded batch. ``detect_each_batch`` runs
 the same detection on every micro-batch of a streaming DataFrame through
 ``foreachBatch``: each batch is one scored table, so its threshold is that
 batch's mean + n sigma, which is what the reference computes per table. No
-streaming state or watermark is involved. The query's checkpoint goes under
-the shared checkpoint folder unless one is given, so a restarted query
-resumes where it stopped.
+streaming state or watermark is involved. Pass a stable ``checkpoint`` path
+(on shared storage) for a query that resumes where it stopped after a
+restart; without one, a fresh folder under the shared checkpoint folder is
+used for this run only.
 """
 
 from __future__ import annotations
