@@ -17,6 +17,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
@@ -99,8 +100,10 @@ def search_k(frame: DataFrame, algorithm: str, k_min: int = K_MIN, k_max: int =
         parallelism = 1
     parallelism = min(parallelism, len(ks))
     if parallelism > 1:
+        # Threads inherit the caller's local properties (job group, pool),
+        # so cancelling the caller's job group also cancels the search fits.
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(run, ks))
+            results = list(pool.map(inheritable_thread_target(run), ks))
     else:
         results = [run(k) for k in ks]
 
