@@ -103,7 +103,7 @@ def search_k(frame: DataFrame, algorithm: str, k_min: int = K_MIN, k_max: int =
         # Threads inherit the caller's local properties (job group, pool),
         # so cancelling the caller's job group also cancels the search fits.
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(inheritable_thread_target(run), ks))
+            results = list(pool.map(inheritable_thread_target(frame.sparkSession)(run), ks))
     else:
         results = [run(k) for k in ks]
 
