@@ -8,8 +8,7 @@ result depends on a fit (train_detect_*) have no SQL here.
 
 from __future__ import annotations
 
-# Fixed value: the alert prefix (see farpoint.functions.alerts).
-_PREFIX = "Обнаружена аномалия в строке "
+from ..functions.alerts import ALERT_PREFIX as _PREFIX
 
 
 def _sq(a: str, b: str) -> str:
