@@ -77,3 +77,13 @@ def test_text_sink_appends(spark):
     write_alerts(alerts, "FILE", path=path)
     assert spark.read.text(path).count() == 4
     assert console_lines(alerts.where("false")) == [NONE_FOUND]
+
+
+def test_kafka_sink_needs_connector(spark):
+    """The Kafka sink hands the lines to Spark's Kafka writer; without the
+    connector jar on the classpath it fails clearly instead of dropping them."""
+    df = spark.createDataFrame([("line",)], "value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_alerts(df, "Kafka", brokers="localhost:1", topic="alerts")
+    with pytest.raises(ValueError):
+        write_alerts(df, "kafka", brokers="", topic="alerts")
