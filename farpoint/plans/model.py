@@ -47,6 +47,29 @@ def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
     return frame
 
 
+# Target size of one partition of the written training coordinates.
+COORD_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_partitions(frame: DataFrame, rows: int, dimension: int) -> DataFrame:
+    """Merge small partitions of the coordinate frame (no shuffle).
+
+    The coordinates are a fraction of the source's width, so a large source
+    split into ~128 MB scan partitions would give many tiny coordinate
+    partitions, and every k-means iteration of every fit would schedule all
+    of them. Coalesce to about 128 MB per partition (at least two per core,
+    for balance) when the frame has more than twice that many; small inputs
+    keep their split (k-means|| initialisation depends on it).
+    """
+    from math import ceil
+    from ..session import default_parallelism
+    est = rows * (8 * max(1, dimension) + 96)
+    target = max(2 * default_parallelism(frame.sparkSession), ceil(est / COORD_PARTITION_BYTES))
+    if frame.rdd.getNumPartitions() > 2 * target:
+        return frame.coalesce(target)
+    return frame
+
+
 @dataclass
 class Detection:
     """Result of scoring one table; DataFrames are lazy."""
@@ -175,7 +198,7 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
     if prep.rows_kept == 0:
         raise ValueError("no rows left to train on (empty table, or every row has a "
                          "null string feature)")
-    frame = spread(prep.vectors(df), partitions)
+    frame = spread(size_partitions(prep.vectors(df), prep.rows_kept, prep.dimension), partitions)
     written = None
     if cache:
         frame, written = materialise_at(frame, "train-coords")
