@@ -29,6 +29,8 @@ class JobConfig:
     input_topic: str | None = None
     score_topic: str | None = None
     value_schema: str | None = None
+    schema: str | None = None            # DDL for file sources: skips CSV inference
+    sampling_ratio: float | None = None  # or infer CSV types from a sample
     algorithm: str = "kMeans"
     metric: str = "euclidean"
     n_sigma: float | None = None
@@ -52,11 +54,13 @@ class JobResult:
 def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobResult:
     train_df = read_source(spark, cfg.source, path=cfg.train_path, file_type=cfg.file_type,
                            brokers=cfg.brokers, topic=cfg.input_topic,
-                           value_schema=cfg.value_schema)
+                           value_schema=cfg.value_schema, schema=cfg.schema,
+                           sampling_ratio=cfg.sampling_ratio)
     model = train(train_df, cfg.features, cfg.algorithm, k=cfg.k, layout=cfg.layout)
     score_df = read_source(spark, cfg.source, path=cfg.score_path, file_type=cfg.file_type,
                            brokers=cfg.brokers, topic=cfg.score_topic or cfg.input_topic,
-                           value_schema=cfg.value_schema)
+                           value_schema=cfg.value_schema, schema=cfg.schema,
+                           sampling_ratio=cfg.sampling_ratio)
     det = model.detect(score_df, cfg.metric, n_sigma=cfg.n_sigma, refit=cfg.refit,
                        rule=cfg.rule, id_col=cfg.id_col)
     if write:
@@ -76,6 +80,8 @@ def _parse(argv: list[str] | None) -> JobConfig:
     p.add_argument("--input-topic")
     p.add_argument("--score-topic")
     p.add_argument("--value-schema")
+    p.add_argument("--schema", help="DDL schema for file sources (skips CSV inference)")
+    p.add_argument("--sampling-ratio", type=float, help="infer CSV types from a sample")
     p.add_argument("--algorithm", default="kMeans")
     p.add_argument("--metric", default="euclidean")
     p.add_argument("--n-sigma", type=float)
@@ -91,7 +97,8 @@ def _parse(argv: list[str] | None) -> JobConfig:
     return JobConfig(features=a.features, train_path=a.train_path, score_path=a.score_path,
                      source=a.source, file_type=a.file_type, brokers=a.brokers,
                      input_topic=a.input_topic, score_topic=a.score_topic,
-                     value_schema=a.value_schema, algorithm=a.algorithm, metric=a.metric,
+                     value_schema=a.value_schema, schema=a.schema,
+                     sampling_ratio=a.sampling_ratio, algorithm=a.algorithm, metric=a.metric,
                      n_sigma=a.n_sigma, rule=a.rule, refit=not a.no_refit, layout=a.layout,
                      id_col=a.id_col, k=a.k, output=a.output, output_path=a.output_path,
                      output_topic=a.output_topic)

@@ -46,11 +46,13 @@ def read_json(spark: SparkSession, path: str, *,
 
 
 def read_file(spark: SparkSession, path: str, file_type: str = "csv", *,
-              schema: StructType | str | None = None) -> DataFrame:
-    """Read a file by type name."""
+              schema: StructType | str | None = None,
+              sampling_ratio: float | None = None) -> DataFrame:
+    """Read a file by type name (S2). For CSV, ``schema`` skips inference and
+    ``sampling_ratio`` infers from a sample instead of a full extra pass."""
     kind = file_format_by_name(file_type)
     if kind == "csv":
-        return read_csv(spark, path, schema=schema)
+        return read_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio)
     if kind == "json":
         return read_json(spark, path, schema=schema)
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -14,14 +14,15 @@ SOURCE_KINDS = ("file", "kafka")
 def read_source(spark: SparkSession, kind: str = "file", *, path: str | None = None,
                 file_type: str = "csv", brokers: str | None = None, topic: str | None = None,
                 value_schema: StructType | str | None = None,
-                schema: StructType | str | None = None) -> DataFrame:
+                schema: StructType | str | None = None,
+                sampling_ratio: float | None = None) -> DataFrame:
     """``file`` → a file scan of ``file_type``; ``kafka`` → a batch topic read,
     decoded with ``value_schema`` when given. Other kinds raise."""
     key = (kind or "").lower()
     if key == "file":
         if not path:
             raise ValueError("a file source needs a path")
-        return read_file(spark, path, file_type, schema=schema)
+        return read_file(spark, path, file_type, schema=schema, sampling_ratio=sampling_ratio)
     if key == "kafka":
         raw = read_kafka(spark, brokers or "", topic or "")
         return decode_kafka(raw, value_schema) if value_schema is not None else raw

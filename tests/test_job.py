@@ -15,7 +15,8 @@ def test_run_job_csv_to_text(spark, mall):
     clean, planted = mall
     out = scratch_path(spark, "job-alerts")
     cfg = JobConfig(features=MALL_FEATURES, train_path=staged(clean, "csv"),
-                    score_path=staged(planted, "csv"), output_path=out)
+                    score_path=staged(planted, "csv"), output_path=out,
+                    schema="id int, Genre string, Age int, AnnualIncome int, SpendingScore int")
     res = run_job(spark, cfg)
     assert res.found and res.model.k == 4
     lines = sorted(r[0] for r in spark.read.text(out).collect())
