@@ -227,3 +227,18 @@ def test_options_scaled_layout_root_metric_sigma(spark, mall):
     sq = model.detect(planted, "euclidean").scored.select("id", "distance").collect()
     rt = dict((r["id"], r["distance"]) for r in det.scored.select("id", "distance").collect())
     assert all(abs(rt[r["id"]] - r["distance"] ** 0.5) < 1e-9 for r in sq)
+
+
+def test_search_result_independent_of_concurrency(spark, mall, models):
+    clean, _ = mall
+    serial = train(clean, MALL_FEATURES, "kMeans", parallelism=1)
+    assert serial.k == models["kMeans"].k
+    assert serial.silhouettes == models["kMeans"].silhouettes
+    assert serial.centres == models["kMeans"].centres
+
+
+def test_spread_option_runs(spark, mall):
+    clean, planted = mall
+    model = train(clean, MALL_FEATURES, "kMeans", k=4, partitions=3)
+    assert len(model.centres) == 4
+    assert {50, 72} <= {r["id"] for r in model.detect(planted).flagged.collect()}
