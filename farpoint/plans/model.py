@@ -32,6 +32,7 @@ from ..operators.features import FeatureModel, fit_features
 from ..session import drop_path, materialise_at, tune_codegen
 
 DISTANCE_COL = "distance"
+THRESHOLD_COL = "threshold"
 
 
 def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
@@ -75,7 +76,7 @@ class Detection:
     """Result of scoring one table; DataFrames are lazy."""
 
     scored: DataFrame            # source columns + distance
-    flagged: DataFrame           # the rows over the threshold
+    flagged: DataFrame           # rows over the cut: source columns + distance (+ threshold)
     stats: DistanceStats | None
     threshold: float | None
     n_sigma: float | None
@@ -121,8 +122,9 @@ class AnomalyModel:
         metric = metric_by_name(metric)
         tune_codegen(df.sparkSession)
         source_columns = list(df.columns)
-        if DISTANCE_COL in source_columns:
-            raise ValueError(f"the scored table already has a {DISTANCE_COL!r} column")
+        for name in (DISTANCE_COL, THRESHOLD_COL):
+            if name in source_columns:
+                raise ValueError(f"the scored table already has a {name!r} column")
         prep = preparation or (fit_features(df, self.features, layout=self.preparation.layout)
                                if refit else self.preparation)
         if prep.base_columns != self.preparation.base_columns:
@@ -157,7 +159,8 @@ class AnomalyModel:
         sigma = self.default_sigma if n_sigma is None else float(n_sigma)
         stats = distance_stats(scored)
         threshold = stats.threshold(sigma)
-        flagged = scored.where(sigma_predicate(dist, threshold))
+        flagged = (scored.where(sigma_predicate(dist, threshold))
+                   .withColumn(THRESHOLD_COL, F.lit(float(threshold))))
         return Detection(scored, flagged, stats, threshold, sigma, rule, id_name, source_columns)
 
     @classmethod
