@@ -101,7 +101,13 @@ class Detection:
 
 @dataclass
 class AnomalyModel:
-    """A fitted clustering model plus what is needed to score new tables."""
+    """A fitted clustering model plus what is needed to score new tables.
+
+    ``centres`` (k lists of coordinates) and ``preparation`` are all scoring
+    needs. ``mllib_model`` is kept for MLlib's own ``transform``; its training
+    summary is not usable, since the coordinate table it points to is deleted
+    once the search ends.
+    """
 
     algorithm: str
     features: list[str]
