@@ -84,16 +84,5 @@ def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> Da
 
 
 def schema_text(df: DataFrame) -> str:
-    """The schema as printed by ``printSchema``."""
-    lines = ["root"]
-
-    def walk(struct: StructType, depth: int) -> None:
-        for f in struct.fields:
-            pad = " |   " * depth
-            lines.append(f"{pad} |-- {f.name}: {f.dataType.typeName()} (nullable = "
-                         f"{str(f.nullable).lower()})")
-            if isinstance(f.dataType, StructType):
-                walk(f.dataType, depth + 1)
-
-    walk(df.schema, 0)
-    return "\n".join(lines) + "\n"
+    """The schema exactly as ``printSchema`` prints it."""
+    return df.schema.treeString()
