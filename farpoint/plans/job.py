@@ -56,13 +56,16 @@ def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobRe
                            brokers=cfg.brokers, topic=cfg.input_topic,
                            value_schema=cfg.value_schema, schema=cfg.schema,
                            sampling_ratio=cfg.sampling_ratio)
-    model = train(train_df, cfg.features, cfg.algorithm, k=cfg.k, layout=cfg.layout)
+    # Row formats are parsed in full on every pass: stage the chosen columns.
+    row_format = cfg.source.lower() == "kafka" or cfg.file_type.lower() in ("csv", "json")
+    model = train(train_df, cfg.features, cfg.algorithm, k=cfg.k, layout=cfg.layout,
+                  stage_features=row_format)
     score_df = read_source(spark, cfg.source, path=cfg.score_path, file_type=cfg.file_type,
                            brokers=cfg.brokers, topic=cfg.score_topic or cfg.input_topic,
                            value_schema=cfg.value_schema, schema=cfg.schema,
                            sampling_ratio=cfg.sampling_ratio)
     det = model.detect(score_df, cfg.metric, n_sigma=cfg.n_sigma, refit=cfg.refit,
-                       rule=cfg.rule, id_col=cfg.id_col)
+                       rule=cfg.rule, id_col=cfg.id_col, stage_features=row_format)
     if write:
         write_alerts(det.alerts(), cfg.output, path=cfg.output_path, brokers=cfg.brokers,
                      topic=cfg.output_topic)

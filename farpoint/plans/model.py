@@ -153,17 +153,39 @@ class AnomalyModel:
 
     def detect(self, df: DataFrame, metric: str = "euclidean", *, n_sigma: float | None = None,
                refit: bool = True, rule: str = "sigma", id_col: str | None = None,
-               preparation: FeatureModel | None = None) -> Detection:
-        """Score ``df`` and flag rows far from every centre."""
+               preparation: FeatureModel | None = None,
+               stage_features: bool = False) -> Detection:
+        """Score ``df`` and flag rows far from every centre.
+
+        ``stage_features`` is for row-format sources (CSV, JSON, Kafka),
+        where every pass parses whole rows: the chosen columns are written
+        once to the shared folder, the refit and the statistics read that
+        narrow table, and only the final flag pass reads the source again.
+        """
         rule = rule_by_name(rule)
         id_name = resolve_id_column(df, id_col)
-        scored, source_columns = self.score(df, metric, refit, preparation)
-        dist = F.col(DISTANCE_COL)
-        if rule == "sqrt":
-            return Detection(scored, scored.where(sqrt_predicate(dist)), None, None, None,
-                             rule, id_name, source_columns)
-        sigma = self.default_sigma if n_sigma is None else float(n_sigma)
-        stats = distance_stats(scored)
+        staged = None
+        if stage_features and preparation is None and (refit or rule == "sigma"):
+            staged, staged_path = materialise_at(df.select(*self.features), "score-features")
+            if refit:
+                preparation = fit_features(staged, self.features,
+                                           layout=self.preparation.layout)
+        try:
+            scored, source_columns = self.score(df, metric, refit, preparation)
+            dist = F.col(DISTANCE_COL)
+            if rule == "sqrt":
+                return Detection(scored, scored.where(sqrt_predicate(dist)), None, None, None,
+                                 rule, id_name, source_columns)
+            sigma = self.default_sigma if n_sigma is None else float(n_sigma)
+            if staged is not None:
+                stats_input, _ = self.score(staged, metric, refit,
+                                            preparation if refit else None)
+            else:
+                stats_input = scored
+            stats = distance_stats(stats_input)
+        finally:
+            if staged is not None:
+                drop_path(df.sparkSession, staged_path)
         threshold = stats.threshold(sigma)
         flagged = (scored.where(sigma_predicate(dist, threshold))
                    .withColumn(THRESHOLD_COL, F.lit(float(threshold))))
@@ -187,13 +209,16 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
           k: int | None = None, k_min: int = clustering.K_MIN, k_max: int = clustering.K_MAX,
           seed: int = clustering.SEED, layout: str = "3n",
           parallelism: int | None = None, partitions: int | None = None,
-          cache: bool = True) -> AnomalyModel:
+          cache: bool = True, stage_features: bool = False) -> AnomalyModel:
     """Fit the preparation and a clustering model on ``df``.
 
     With ``k`` given, the silhouette search is skipped. ``parallelism`` runs
     that many search fits at once; ``partitions`` spreads a small input.
     ``cache=False`` re-derives the coordinates from the source on every pass
     (what the reference does; only useful to measure the written table's worth).
+    ``stage_features`` (for CSV / JSON / Kafka sources) writes the chosen
+    columns once, so the fit and the coordinate pass do not parse the source
+    rows twice.
 
     The coordinates are written once to the shared checkpoint folder and read
     back: the fits and silhouette passes scan that compact table instead of
@@ -203,6 +228,19 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
     which is about twice as fast to iterate as the columnar cache.
     """
     algo = clustering.algorithm_by_name(algorithm)
+    staged_path = None
+    if stage_features:
+        df, staged_path = materialise_at(df.select(*features), "train-features")
+    try:
+        return _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism,
+                      partitions, cache)
+    finally:
+        if staged_path is not None:
+            drop_path(df.sparkSession, staged_path)
+
+
+def _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism, partitions,
+           cache) -> AnomalyModel:
     prep = fit_features(df, features, layout=layout)
     if prep.rows_kept == 0:
         raise ValueError("no rows left to train on (empty table, or every row has a "

@@ -41,3 +41,21 @@ def test_hot_label_distributed_path(spark):
     hot = dist.index(base).where("label = 'HOT'").select("label_index").distinct().collect()
     assert [r[0] for r in hot] == [0.0]
     assert abs(local.stds[1] - dist.stds[1]) < 1e-9 * max(1.0, local.stds[1])
+
+
+def test_staged_features_give_identical_results(spark, mall):
+    """Staging the chosen columns (for row-format sources) changes nothing."""
+    from farpoint import train
+    from farpoint.sources import read_file
+    clean, planted = mall
+    train_csv = read_file(spark, staged(clean, "csv"), "csv")
+    score_csv = read_file(spark, staged(planted, "csv"), "csv")
+    plain = train(train_csv, MALL_FEATURES, "kMeans")
+    stage = train(train_csv, MALL_FEATURES, "kMeans", stage_features=True)
+    assert stage.k == plain.k and stage.centres == plain.centres
+    for refit in (True, False):
+        a = plain.detect(score_csv, refit=refit)
+        b = plain.detect(score_csv, refit=refit, stage_features=True)
+        assert a.threshold == b.threshold
+        assert sorted(r["id"] for r in a.flagged.collect()) == \
+            sorted(r["id"] for r in b.flagged.collect()) == [50, 72]
