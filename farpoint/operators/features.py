@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import drop_path, materialise_at
 from .indexing import LabelTable, distributed_label_tables, local_label_tables
 
 # Largest label table ranked on the driver and broadcast: both the number
@@ -209,7 +210,7 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
                  and int(size["bytes"] or 0) <= MAX_LOCAL_LABEL_BYTES)
         head = held.collect() if local else []
         if not local:
-            stats = _written(held)
+            stats, stats_path = materialise_at(held, "feature-stats")
             top = stats.where(F.col("pos") == 0).collect()
         else:
             top = [r for r in head if r["pos"] == 0]
@@ -244,17 +245,13 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
         counts = stats.where(F.col("pos") != 0).select(
             "pos", "label", "n_fit", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
         tables = distributed_label_tables(counts, strings, label_cols, index_cols)
+        drop_path(spark, stats_path)       # the ranked label table is written
 
     stds = num_stds + [t.std if rows_kept > 1 else 0.0 for t in tables]
     return FeatureModel(list(features), numeric, strings, tables, stds,
                         rows_seen, rows_kept, layout)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    from ..session import materialise
-    return materialise(df, "feature-stats")
-
-
 def prepare(df: DataFrame, features: list[str], *, layout: str = "3n") -> DataFrame:
     """Fit on ``df`` and return the selected features with index and
     coordinate columns (F4 + F5 in one call)."""

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import drop_path, materialise, materialise_at
 
 # Largest label set per column inlined as a literal map in the projection
 # (by count and by total UTF-8 size, which bounds the plan's size).
@@ -101,7 +101,7 @@ def local_label_tables(spark: SparkSession, columns: list[str],
     return tables
 
 
-def rank_distributed(counts: DataFrame) -> DataFrame:
+def rank_distributed(counts: DataFrame) -> tuple[DataFrame, str]:
     """Rank labels per position without one task holding a whole column.
 
     ``counts`` has (pos, label, n_fit, n_kept). Returns the same plus ``idx``
@@ -110,10 +110,11 @@ def rank_distributed(counts: DataFrame) -> DataFrame:
     the sizes of earlier partitions for the same pos: a table with one row per
     partition and position, so bounded by the shuffle width) plus its position
     inside the partition. The tagged table is written out so the partition ids
-    stay fixed if a task is retried.
+    stay fixed if a task is retried; its path is returned for clean-up once
+    the ranked result has been written.
     """
     ordered = counts.orderBy("pos", F.desc("n_fit"), "label")
-    tagged = materialise(
+    tagged, tagged_path = materialise_at(
         ordered.select("*", F.spark_partition_id().alias("_pid"),
                        F.monotonically_increasing_id().alias("_mid")),
         "label-rank")
@@ -123,15 +124,25 @@ def rank_distributed(counts: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1)
     blocks = blocks.select("pos", "_pid", "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(blocks), ["pos", "_pid"])
-            .select("pos", "label", "n_fit", "n_kept",
-                    (F.col("_off") + F.col("_mid") - F.col("_first")).cast("double").alias("idx")))
+    ranked = (tagged.join(F.broadcast(blocks), ["pos", "_pid"])
+              .select("pos", "label", "n_fit", "n_kept",
+                      (F.col("_off") + F.col("_mid") - F.col("_first")).cast("double")
+                      .alias("idx")))
+    return ranked, tagged_path
 
 
 def distributed_label_tables(counts: DataFrame, columns: list[str],
                              label_cols: list[str], index_cols: list[str]) -> list[LabelTable]:
-    """Label tables for large label sets; nothing label-sized is collected."""
-    ranked = materialise(rank_distributed(counts), "label-index")
+    """Label tables for large label sets; nothing label-sized is collected.
+
+    The ranked table stays in the shared folder: it is the fitted state the
+    model joins against (like a saved model); the intermediate tagged table
+    is deleted once the ranked one is written.
+    """
+    spark = counts.sparkSession
+    lazy_ranked, tagged_path = rank_distributed(counts)
+    ranked = materialise(lazy_ranked, "label-index")
+    drop_path(spark, tagged_path)
     # Spread of each index column, weighted by kept counts (two small passes
     # over the label table, one row per string column collected each time).
     means = {r["pos"]: (r["n"], r["m"]) for r in ranked.groupBy("pos").agg(
