@@ -48,6 +48,12 @@ def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
     return frame
 
 
+def _require_batch(df: DataFrame) -> None:
+    if df.isStreaming:
+        raise ValueError("train/detect take a batch DataFrame; score a stream with "
+                         "farpoint.streaming.detect_each_batch")
+
+
 # Target size of one partition of the written training coordinates.
 COORD_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -163,6 +169,7 @@ class AnomalyModel:
         narrow table, and only the final flag pass reads the source again.
         """
         rule = rule_by_name(rule)
+        _require_batch(df)
         id_name = resolve_id_column(df, id_col)
         staged = None
         if stage_features and preparation is None and (refit or rule == "sigma"):
@@ -228,6 +235,7 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
     which is about twice as fast to iterate as the columnar cache.
     """
     algo = clustering.algorithm_by_name(algorithm)
+    _require_batch(df)
     staged_path = None
     if stage_features:
         df, staged_path = materialise_at(df.select(*features), "train-features")
