@@ -136,6 +136,16 @@ def q_string_index(spark, sf_dir):
     return prep.index(customer.select("c_custkey", "c_mktsegment"))
 
 
+def q_index_distributed(spark, sf_dir):
+    """F1 with the label set treated as large (local bound 0): customer names
+    ranked by the distributed sort-and-offset path, joined without collecting
+    the labels on the driver."""
+    customer = table(spark, sf_dir, "customer")
+    prep = fit_features(customer, ["c_name", "c_acctbal"], max_local_labels=0)
+    return prep.index(customer.select("c_custkey", "c_name", "c_acctbal")).select(
+        "c_custkey", "c_name_index")
+
+
 def _customer_with_null_segments(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     return customer.withColumn(
@@ -362,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_select": q_feature_select,
     "string_columns": q_string_columns,
     "string_index": q_string_index,
+    "index_distributed": q_index_distributed,
     "index_skip_nulls": q_index_skip_nulls,
     "index_chain": q_index_chain,
     "standard_scale": q_standard_scale,

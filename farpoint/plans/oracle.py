@@ -138,6 +138,11 @@ WITH ix AS (
   FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment)
 SELECT c.c_custkey, c.c_mktsegment, ix.c_mktsegment_index
 FROM customer c JOIN ix ON c.c_mktsegment = ix.c_mktsegment""",
+    "index_distributed": """
+WITH ix AS (
+  SELECT c_name, CAST(row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS DOUBLE) AS i
+  FROM customer WHERE c_name IS NOT NULL GROUP BY c_name)
+SELECT c.c_custkey, ix.i AS c_name_index FROM customer c JOIN ix ON c.c_name = ix.c_name""",
     "index_skip_nulls": f"""
 WITH t AS ({_CUSTOMER_NULL_SEG}),
 ix AS (

@@ -4,7 +4,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 FAST = ["csv_scan", "json_scan", "kafka_decode", "column_names", "preview", "schema_fields",
-        "feature_select", "string_columns", "string_index", "index_skip_nulls", "index_chain",
+        "feature_select", "string_columns", "string_index", "index_distributed",
+        "index_skip_nulls", "index_chain",
         "standard_scale", "feature_layout", "nearest_euclidean", "nearest_manhattan",
         "nearest_centre", "distance_stats", "detect_kmeans_rule_euclid",
         "detect_kmeans_rule_manhattan", "detect_bisecting_rule_euclid",
