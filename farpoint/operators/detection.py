@@ -23,6 +23,7 @@ class DistanceStats:
     count: int
     mean: float
     std: float
+    max: float | None = None
 
     def threshold(self, n_sigma: float) -> float:
         """``mean + n_sigma * std`` (A3 / A4)."""
@@ -36,19 +37,21 @@ def stats_columns(distance: Column) -> list[Column]:
 
 
 def distance_stats(scored: DataFrame, distance_col: str = "distance") -> DistanceStats:
-    """A1 + A2 in one job; only one row reaches the driver.
+    """A1 + A2 in one job; only one row reaches the driver. The maximum comes
+    with it, so "was anything flagged" needs no further pass (A5).
 
     A null or NaN distance comes from a null or NaN numeric feature, which
     the reference's assembler rejects; the same job counts them and raises.
     """
     d = F.col(distance_col)
-    row = scored.agg(*stats_columns(d), F.count(F.lit(1)).alias("rows"),
+    row = scored.agg(*stats_columns(d), F.max(d).alias("max"), F.count(F.lit(1)).alias("rows"),
                      F.sum(F.when(F.isnan(d), 1).otherwise(0)).alias("nans")).first()
     n = int(row["n"] or 0)
     bad = int(row["rows"] or 0) - n + int(row["nans"] or 0)
     if bad:
         raise ValueError(f"{bad} scored row(s) have a null or NaN numeric feature")
-    return DistanceStats(n, float(row["mean"] or 0.0), float(row["std"] or 0.0) if n > 1 else 0.0)
+    return DistanceStats(n, float(row["mean"] or 0.0), float(row["std"] or 0.0) if n > 1 else 0.0,
+                         float(row["max"]) if row["max"] is not None else None)
 
 
 def sigma_predicate(distance: Column, threshold: float) -> Column:

@@ -95,7 +95,10 @@ class Detection:
         return format_alerts(self.flagged, self.id_col, self.source_columns)
 
     def found(self) -> bool:
-        """A5."""
+        """A5. Under the sigma rule this is ``max(distance) > threshold``,
+        known from the statistics job; the sqrt rule looks for a first row."""
+        if self.stats is not None and self.threshold is not None:
+            return self.stats.max is not None and self.stats.max > self.threshold
         return not self.flagged.isEmpty()
 
     def report(self, n: int = 20) -> list[str]:

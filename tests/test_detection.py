@@ -242,3 +242,11 @@ def test_spread_option_runs(spark, mall):
     model = train(clean, MALL_FEATURES, "kMeans", k=4, partitions=3)
     assert len(model.centres) == 4
     assert {50, 72} <= {r["id"] for r in model.detect(planted).flagged.collect()}
+
+
+def test_found_from_statistics_matches_rows(spark, mall, models):
+    clean, planted = mall
+    for df, want in ((clean, False), (planted, True)):
+        det = models["kMeans"].detect(df)
+        assert det.found() is want
+        assert (not det.flagged.isEmpty()) is want
