@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from ..functions.alerts import NONE_FOUND
 from ..sinks import write_alerts
 from ..sources import read_source
 from .model import AnomalyModel, Detection, train
@@ -72,6 +73,17 @@ def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobRe
     return JobResult(model, det, det.found())
 
 
+def console_lines(spark: SparkSession, cfg: JobConfig, res: JobResult, n: int = 20) -> list[str]:
+    """Up to ``n`` alert lines for the console without rescoring the table:
+    none-found comes from the statistics, file alerts are read back from the
+    (small) written output."""
+    if not res.found:
+        return [NONE_FOUND]
+    if cfg.output.lower() == "file" and cfg.output_path:
+        return [r["value"] for r in spark.read.text(cfg.output_path).take(n)]
+    return res.detection.report(n)
+
+
 def _parse(argv: list[str] | None) -> JobConfig:
     p = argparse.ArgumentParser(prog="farpoint-job", description=__doc__.splitlines()[0])
     p.add_argument("--features", nargs="+", required=True)
@@ -113,7 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     try:
         res = run_job(spark, cfg)
-        for line in res.detection.report(20):       # K4: console lines
+        for line in console_lines(spark, cfg, res):  # K4
             print(line)
         print(json.dumps({"k": res.model.k, "found": res.found,
                           "threshold": res.detection.threshold}))

@@ -22,6 +22,8 @@ def test_run_job_csv_to_text(spark, mall):
     lines = sorted(r[0] for r in spark.read.text(out).collect())
     assert lines == [ALERT_PREFIX + "51: [50,Female,18,65,150]",
                      ALERT_PREFIX + "73: [72,Female,150,111,37]"]
+    from farpoint.plans.job import console_lines
+    assert sorted(console_lines(spark, cfg, res)) == lines
 
 
 def test_hot_label_distributed_path(spark):
