@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from ..functions.alerts import NONE_FOUND
 from ..sinks import write_alerts
+from ..session import list_files
 from ..sources import read_source
 from .model import AnomalyModel, Detection, train
 
@@ -50,6 +51,7 @@ class JobResult:
     model: AnomalyModel
     detection: Detection
     found: bool
+    new_files: list[str] | None = None   # part files this run appended (file sink)
 
 
 def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobResult:
@@ -67,20 +69,25 @@ def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobRe
                            sampling_ratio=cfg.sampling_ratio)
     det = model.detect(score_df, cfg.metric, n_sigma=cfg.n_sigma, refit=cfg.refit,
                        rule=cfg.rule, id_col=cfg.id_col, stage_features=row_format)
+    new_files = None
     if write:
+        to_file = cfg.output.lower() == "file" and cfg.output_path
+        before = list_files(spark, cfg.output_path) if to_file else set()
         write_alerts(det.alerts(), cfg.output, path=cfg.output_path, brokers=cfg.brokers,
                      topic=cfg.output_topic)
-    return JobResult(model, det, det.found())
+        if to_file:
+            new_files = sorted(list_files(spark, cfg.output_path) - before)
+    return JobResult(model, det, det.found(), new_files)
 
 
 def console_lines(spark: SparkSession, cfg: JobConfig, res: JobResult, n: int = 20) -> list[str]:
     """Up to ``n`` alert lines for the console without rescoring the table:
-    none-found comes from the statistics, file alerts are read back from the
-    (small) written output."""
+    none-found comes from the statistics; file alerts are read back from the
+    part files this run appended (small: flagged rows only)."""
     if not res.found:
         return [NONE_FOUND]
-    if cfg.output.lower() == "file" and cfg.output_path:
-        return [r["value"] for r in spark.read.text(cfg.output_path).take(n)]
+    if res.new_files:                     # this run's lines only (the sink appends)
+        return [r["value"] for r in spark.read.text(res.new_files).take(n)]
     return res.detection.report(n)
 
 

@@ -118,3 +118,18 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # pragma: no cover - defensive
         return max(1, os.cpu_count() or 1)
+
+
+def list_files(spark: SparkSession, path: str) -> set[str]:
+    """Data files directly under ``path`` (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return set()
+    out = set()
+    for status in fs.listStatus(hpath):
+        name = status.getPath().getName()
+        if status.isFile() and not name.startswith(("_", ".")):
+            out.add(status.getPath().toString())
+    return out

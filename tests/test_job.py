@@ -24,6 +24,9 @@ def test_run_job_csv_to_text(spark, mall):
                      ALERT_PREFIX + "73: [72,Female,150,111,37]"]
     from farpoint.plans.job import console_lines
     assert sorted(console_lines(spark, cfg, res)) == lines
+    again = run_job(spark, cfg)                  # appends; console shows this run only
+    assert spark.read.text(out).count() == 4
+    assert sorted(console_lines(spark, cfg, again)) == lines
 
 
 def test_hot_label_distributed_path(spark):
