@@ -93,3 +93,24 @@ def test_kafka_shaped_rows_decode_then_detect(spark):
     a = model.detect(decoded, id_col="event_id").flagged.select("event_id").collect()
     b = direct.detect(events, id_col="event_id").flagged.select("event_id").collect()
     assert sorted(r[0] for r in a) == sorted(r[0] for r in b)
+
+
+def test_cli_main_subprocess(spark, mall):
+    """The command-line job end to end in its own process (E5 + K4)."""
+    import os
+    import subprocess
+    import sys
+    clean, planted = mall
+    out = scratch_path(spark, "cli-alerts")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "farpoint.plans.job",
+           "--train-path", staged(clean, "csv"), "--score-path", staged(planted, "csv"),
+           "--features", *MALL_FEATURES, "--output-path", out,
+           "--schema", "id int, Genre string, Age int, AnnualIncome int, SpendingScore int"]
+    proc = subprocess.run(cmd, cwd=root, capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    printed = [x for x in proc.stdout.splitlines() if x.startswith(ALERT_PREFIX)]
+    assert sorted(printed) == [ALERT_PREFIX + "51: [50,Female,18,65,150]",
+                               ALERT_PREFIX + "73: [72,Female,150,111,37]"]
+    assert '"found": true' in proc.stdout and '"k": 4' in proc.stdout
+    assert sorted(r[0] for r in spark.read.text(out).collect()) == sorted(printed)
