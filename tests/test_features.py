@@ -141,3 +141,17 @@ def test_label_byte_bounds_choose_tier(spark, monkeypatch):
     want = sorted(tuple(r) for r in base.index(customer).select(*cols).collect())
     for prep in (mid, big):
         assert sorted(tuple(r) for r in prep.index(customer).select(*cols).collect()) == want
+
+
+def test_unicode_tie_order_matches_mllib(spark):
+    """Equal counts are ordered like MLlib's StringIndexer, also for labels
+    outside the basic plane (both the local and the distributed tier)."""
+    from pyspark.ml.feature import StringIndexer
+    labels = ["Ａ", "\U0001F600", "b", "a", "é"]
+    df = spark.createDataFrame([(i, l) for i, l in enumerate(labels)], "id int, s string")
+    want = {l: float(i) for i, l in enumerate(StringIndexer(inputCol="s", outputCol="i")
+                                               .fit(df).labels)}
+    for bound in (100, 0):
+        prep = fit_features(df, ["s"], max_local_labels=bound)
+        got = {r["s"]: r["s_index"] for r in prep.index(df).collect()}
+        assert got == want
