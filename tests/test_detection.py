@@ -64,17 +64,20 @@ def test_vectors_equal_reference_chain(spark, mall):
             assert a == pytest.approx(b, rel=1e-12, abs=1e-12)
 
 
-def test_k_search_matches_reference_loop(spark, mall, models):
+@pytest.mark.parametrize("algorithm", ["kMeans", "bisectingKMeans"])
+def test_k_search_matches_reference_loop(spark, mall, models, algorithm):
+    from pyspark.ml.clustering import BisectingKMeans
     clean, _ = mall
+    cls = KMeans if algorithm == "kMeans" else BisectingKMeans
     feat = reference_features(clean, MALL_FEATURES).select("features").cache()
     best_k, best = 0, 0.0
     for k in range(3, 11):
-        pred = KMeans(k=k, seed=1, predictionCol="cluster").fit(feat).transform(feat)
+        pred = cls(k=k, seed=1, predictionCol="cluster").fit(feat).transform(feat)
         s = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette").evaluate(pred)
         if s > best:
             best_k, best = k, s
     feat.unpersist()
-    model = models["kMeans"]
+    model = models[algorithm]
     assert model.k == best_k
     assert model.silhouettes[best_k] == pytest.approx(best, rel=1e-9)
 
