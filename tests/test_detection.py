@@ -275,3 +275,19 @@ def test_vectors_equal_reference_chain_mixed_types(spark):
     assert len(ours) == len(ref) > 0
     for a, b in zip(ours, ref):
         assert a == pytest.approx(b, rel=1e-12, abs=1e-12)
+
+
+def test_argument_validation(spark, mall, models):
+    clean, _ = mall
+    with pytest.raises(ValueError, match="at least 2"):
+        train(clean, MALL_FEATURES, "kMeans", k=1)
+    with pytest.raises(ValueError, match="bad k range"):
+        train(clean, MALL_FEATURES, "kMeans", k_min=5, k_max=4)
+    with pytest.raises(ValueError, match="repeated"):
+        train(clean, ["Age", "Age"], "kMeans")
+    with pytest.raises(ValueError):
+        models["kMeans"].detect(clean, "chebyshev")
+    with pytest.raises(ValueError):
+        models["kMeans"].detect(clean, rule="iqr")
+    with pytest.raises(ValueError, match="layout"):
+        train(clean, MALL_FEATURES, "kMeans", k=3, layout="wide")
