@@ -19,16 +19,34 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import per_batch, texts_of
+from .common import kept_in_worker, per_batch, texts_of
 
 END = "</w>"
-CACHE_WORDS = 200_000
-ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\\sA-Za-z0-9]+")
+CACHE_WORDS = 400_000
+PIECE_CHARS = 1 << 20
+# Latin text below U+0180 is normalised and split by Python alone: there the normal form
+# is the text itself, lower-casing maps single characters, and these are the classes of
+# the file's pattern. Any other text takes the library's own normaliser and splitter.
+NOT_LATIN = re.compile("[^\x00-\u012f\u0131-\u017f]")
+_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0"
+LATIN_WORD = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
+
+
+def byte_symbols() -> dict[int, str]:
+    """Byte-level BPE's printable character for every byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
 def forced_pairs(vocab: dict[str, int]) -> tuple[set[str], set[str]]:
@@ -46,8 +64,12 @@ def forced_pairs(vocab: dict[str, int]) -> tuple[set[str], set[str]]:
 
 def split_forced(word: str, inner: set[str], last: set[str]) -> list[str]:
     """``word`` cut at every pair that no token holds."""
-    cuts = [i for i in range(1, len(word))
-            if word[i - 1:i + 1] not in (last if i == len(word) - 1 else inner)]
+    pairs = list(map(add, word, word[1:]))
+    if not pairs or pairs[-1] in last and inner.issuperset(pairs[:-1]):
+        return [word]
+    cuts = [i for i, pair in enumerate(pairs[:-1], 1) if pair not in inner]
+    if pairs[-1] not in last:
+        cuts.append(len(pairs))
     return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
 
@@ -55,79 +77,100 @@ class WordBpe:
     """Encoder for a word-level BPE file with an end-of-word suffix and no decoder."""
 
     def __init__(self, spec: str, cache_words: int = CACHE_WORDS):
-        import regex
-        from tokenizers import Tokenizer, models
+        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
         parsed = json.loads(spec)
-        model = parsed["model"]
-        vocab, merges = model["vocab"], [tuple(m) for m in model["merges"]]
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.final = models.BPE(vocab, merges, end_of_word_suffix=END)
-        self.inside = models.BPE(vocab, merges)
-        self.inner, self.last = forced_pairs(vocab)
+        vocab, merges = parsed["model"]["vocab"], parsed["model"]["merges"]
+        merges = [tuple(m) for m in merges]
+        self.normalizer = Tokenizer.from_str(spec).normalizer
         split = parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.word = regex.compile(split)
+        self.splitter = pre_tokenizers.Split(Regex(split), "removed", invert=True)
+        self.final = Tokenizer(models.BPE(vocab, merges, end_of_word_suffix=END))
+        self.inside = Tokenizer(models.BPE(vocab, merges))
+        for part in (self.final, self.inside):
+            part.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.inner, self.last = forced_pairs(vocab)
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        from tokenizers import pre_tokenizers
-        self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.symbols = byte_symbols()
         self.cache, self.cache_words = {}, cache_words
 
-    def word_ids(self, word: str) -> list[int]:
-        """Ids of one word, fragment by fragment."""
-        symbols = self.bytes_of.pre_tokenize_str(word)[0][0]
-        *body, end = split_forced(symbols, self.inner, self.last)
-        return [t.id for part in body for t in self.inside.tokenize(part)] + \
-            [t.id for t in self.final.tokenize(end)]
-
-    def entry(self, word: str) -> tuple[int, str, str]:
-        """(number of ids, ids as text, tokens as text) of a word, remembered."""
-        found = self.cache.get(word)
-        if found is None:
-            ids = self.word_ids(word)
-            found = self.remember(word, ids)
-        return found
-
-    def remember(self, word: str, ids: list[int]) -> tuple[int, str, str]:
-        if len(self.cache) >= self.cache_words:
-            self.cache.clear()
-        found = len(ids), " ".join(map(str, ids)), " ".join(self.names[i] for i in ids)
-        if len(word) <= 64:
-            self.cache[word] = found
-        return found
+    def fragments(self, words: list[str]) -> list[list[str]]:
+        """Every word's byte symbols, cut at the forced boundaries."""
+        return [split_forced(w.encode().decode("latin-1").translate(self.symbols),
+                             self.inner, self.last) for w in words]
+
+    @staticmethod
+    def encoded(model, parts: list[str]) -> list[list[int]]:
+        """Ids of each fragment on its own."""
+        ids = [[] for _ in parts]
+        if parts:
+            found = model.encode(" ".join(parts), add_special_tokens=False)
+            for place, token in zip(found.word_ids, found.ids, strict=True):
+                ids[place].append(token)
+        return ids
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words not seen before, fragment by fragment, and remember them."""
+        cut = self.fragments(words)
+        body = iter(self.encoded(self.inside, [p for parts in cut for p in parts[:-1]]))
+        ends = self.encoded(self.final, [parts[-1] for parts in cut])
+        for word, parts, end in zip(words, cut, ends, strict=True):
+            ids = [i for _ in parts[1:] for i in next(body)] + end
+            self.cache[word] = len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; special tokens stand as themselves."""
+        if "<|" not in text:
+            return self.plain_words(text)
         out = []
         for place, piece in enumerate(self.cut.split(text)):
-            if place % 2:
-                out.append(piece)
-            elif piece:
-                norm = self.tokenizer.normalizer.normalize_str(piece)
-                out += (ASCII_WORD if norm.isascii() else self.word).findall(norm)
+            out += [piece] if place % 2 else self.plain_words(piece)
         return out
 
-    def encode_text(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, ids joined by spaces, decoded text)."""
-        if "<|" in text:
-            parts = [(1, str(self.special[w]), w) if w in self.special else self.entry(w)
-                     for w in self.words(text)]
-        else:
-            cache, entry = self.cache, self.entry
-            parts = [cache.get(w) or entry(w) for w in self.words(text)]
-        if not parts:
-            return 0, "", ""
-        counts, ids, tokens = zip(*parts, strict=True)
-        return sum(counts), " ".join(ids), " ".join(tokens)
+    def plain_words(self, text: str) -> list[str]:
+        if not NOT_LATIN.search(text):
+            return LATIN_WORD.findall(text.lower())
+        norm = self.normalizer.normalize_str(text)
+        return [word for word, _ in self.splitter.pre_tokenize_str(norm)]
+
+    def encode_texts(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+        """For each text (number of ids, ids joined by spaces, decoded text)."""
+        for piece in pieces(texts):
+            found = [self.words(t) for t in piece]
+            new = set().union(*found).difference(self.cache, self.special)
+            if len(self.cache) + len(new) > self.cache_words:
+                self.cache = {}
+                new = set().union(*found).difference(self.special)
+            self.learn(sorted(new))
+            known = self.cache | {w: (1, str(i), w) for w, i in self.special.items()} \
+                if any("<|" in t for t in piece) else self.cache
+            for words in found:
+                parts = [known[w] for w in words]
+                yield (sum(p[0] for p in parts), " ".join([p[1] for p in parts]),
+                       " ".join([p[2] for p in parts]))
 
     def ids(self, text: str) -> list[int]:
-        joined = self.encode_text(text)[1]
+        joined = next(self.encode_texts([text]))[1]
         return list(map(int, joined.split(" "))) if joined else []
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary strings joined by one space, special tokens included."""
-        return " ".join(self.names[i] for i in ids)
+        return " ".join([self.names[i] for i in ids])
+
+
+def pieces(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of about ``PIECE_CHARS`` characters together."""
+    piece, size = [], 0
+    for text in texts:
+        piece.append(text)
+        size += len(text)
+        if size >= PIECE_CHARS:
+            yield piece
+            piece, size = [], 0
+    if piece:
+        yield piece
 
 
 def vocabulary_text(path: str | None = None) -> str:
@@ -148,14 +191,15 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def encode_digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Per document: number of ids and digests of its ids and of its decoded text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_text(vocabulary))
+    text = vocabulary_text(vocabulary)
+    shared, name = docs.sparkSession.sparkContext.broadcast(text), sha256(text)
 
     def make():
-        bpe = WordBpe(shared.value)
+        bpe = kept_in_worker(("word-bpe", name), lambda: WordBpe(shared.value))
 
         def work(batch):
             found = [(n, sha256(ids), sha256(tokens)) for n, ids, tokens in
-                     map(bpe.encode_text, texts_of(batch))]
+                     bpe.encode_texts(texts_of(batch))]
             yield pa.RecordBatch.from_arrays(
                 [pc.cast(batch.column("doc_id"), pa.int64()),
                  *map(pa.array, zip(*found, strict=True))],

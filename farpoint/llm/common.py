@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,18 @@ def per_batch(docs: DataFrame, schema: str | StructType,
     return docs.mapInArrow(run, schema)
 
 
+def kept_in_worker(key: tuple, make: Callable):
+    """What ``make`` builds, kept by this Python process for its later tasks.
+
+    Only for tables and bounded caches that are the same for every task: results
+    never depend on whether an earlier task of this process left them behind.
+    """
+    held = sys.__dict__.setdefault("_farpoint_held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The batch's texts as Python strings, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

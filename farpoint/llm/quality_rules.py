@@ -93,7 +93,7 @@ RULES = (
     FEW_WORDS,
     REPEATED,
     Rule("symbols", lambda s: 10 * s.n_symbols > s.n_words),
-    Rule("duplicate_lines", lambda s: 10 * s.n_dup_lines > 3 * len(s.lines)),
+    Rule("duplicate_lines", lambda s: 2 * s.n_dup_lines > len(s.lines)),
     Rule("word_length", lambda s: not 2 * s.n_words <= s.word_chars <= 15 * s.n_words),
     Rule("shouting", lambda s: 10 * s.n_upper > 4 * s.word_chars),
 )
