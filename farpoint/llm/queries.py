@@ -8,6 +8,7 @@ from .bpe import encode_digest
 from .common import table
 from .exact_dedup import exact_dedup
 from .quality_rules import judge
+from .simhash_dedup import simhash_report
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -32,6 +33,12 @@ WINDOW same AS (PARTITION BY norm)
 """
 
 
+@query
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-copy component of every document."""
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE ids and decoded text of all documents, as digests."""
