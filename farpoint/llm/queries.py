@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_digest
 from .common import table
 from .exact_dedup import exact_dedup
+from .line_dedup import line_report
+from .mixing import mix_report
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
 
@@ -39,6 +41,83 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left of every document after its later repeated runs are deleted."""
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_line_dedup"] = """
+WITH line AS (
+  SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+  FROM (SELECT doc_id, text,
+               unnest(range(1, 1 + len(string_split(coalesce(text, ''), chr(10))))) AS i
+        FROM documents)),
+worded AS (
+  SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
+  FROM line WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+pair AS (
+  SELECT doc_id, i, pos, t, lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS t2 FROM worded),
+marked AS (
+  SELECT doc_id, i, pos, t2 IS NOT NULL AND row_number() OVER (
+    PARTITION BY t, t2 ORDER BY doc_id, pos) > 1 AS again FROM pair),
+gone AS (
+  SELECT doc_id, i, pos,
+         again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone
+  FROM marked),
+runs AS (
+  SELECT doc_id, i, gone, gone AND NOT coalesce(
+    lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM gone)
+SELECT l.doc_id, count(r.i) AS n_lines, count(*) FILTER (r.gone) AS n_removed,
+       count(*) FILTER (r.starts) AS n_runs,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i)
+                       FILTER (NOT coalesce(r.gone, false)), '')) AS kept_sha256
+FROM line l LEFT JOIN runs r ON l.doc_id = r.doc_id AND l.i = r.i
+GROUP BY l.doc_id
+"""
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op7_mixing"] = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':7') AS place
+  FROM documents),
+part AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT)] AS w
+  FROM sized GROUP BY source),
+filled AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+             - coalesce(sum(2 * source_size) OVER before, 0))
+            / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM part
+  WINDOW before AS (ORDER BY source_size / w::DOUBLE, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+target AS (
+  SELECT source, source_size,
+         least(2.0::DOUBLE * source_size, w * max(level) OVER ()) AS target FROM filled),
+goal AS (
+  SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS words FROM target),
+laid AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, g.words,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id) AS BIGINT)
+           - s.size AS start
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       CASE WHEN size = 0 THEN 0 ELSE words // source_size * size
+         + greatest(0, least(size, words % source_size - start)) END AS taken
+FROM laid
+"""
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE ids and decoded text of all documents, as digests."""
