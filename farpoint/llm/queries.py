@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .bpe import encode_digest
+from .chat import perspectives
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_report
 from .mixing import mix_report
+from .packing import write_packed
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
 
@@ -20,6 +24,39 @@ def query(fn):
     return fn
 
 
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered from each participant's point of view."""
+    return perspectives(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op2_chat_format"] = """
+WITH said AS (
+  SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn,
+         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         coalesce(turn, 9223372036854775807) // 256 AS block FROM conversations),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, role, text) AS n
+  FROM said),
+view AS (
+  SELECT s.conv_id, s.block, (s.n - 1) // 256 AS part, p.role AS perspective, s.n, s.text,
+         s.role = p.role AS own,
+         CASE WHEN s.role = p.role THEN '<|assistant|>' WHEN s.role = 'system' THEN '<|system|>'
+              ELSE '<|user:' || s.role || '|>' END || chr(10) AS head
+  FROM numbered s JOIN (SELECT DISTINCT conv_id, role FROM said WHERE role <> 'system') p
+    ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, CAST(sum(length(head) + length(text) + 8) OVER (
+    PARTITION BY conv_id, block, part, perspective ORDER BY n) AS BIGINT) AS upto FROM view)
+SELECT conv_id, block, part, perspective,
+       string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY n) AS rendered,
+       coalesce(string_agg((upto - length(text) - 8) || '-' || upto, ',' ORDER BY n)
+                FILTER (own), '') AS mask,
+       count(*) AS n_turns, count(*) FILTER (own) AS n_own
+FROM placed GROUP BY conv_id, block, part, perspective
+"""
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents by a tree merge of digest runs."""
@@ -128,3 +165,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality cascade's counts and verdict for every document."""
     return judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed rows of all documents' byte ids, written and read again, with a digest of the ids."""
+    packed = write_packed(table(spark, sf_dir, "documents"), scratch_path(spark, "packed"))
+    return packed.select("row_id", F.sha2("ids", 256).alias("ids_sha256"), "n_tokens",
+                         "cu_seqlens", "position_resets", "doc_ids", "pieces")
