@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_report
 from .mixing import mix_report
 from .packing import write_packed
+from .quality_model import classify
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
 
@@ -24,6 +25,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak label, score and verdict of every document."""
+    return classify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation rendered from each participant's point of view."""
