@@ -16,6 +16,7 @@ from .packing import write_packed
 from .quality_model import classify
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
+from .substring_dedup import substring_report
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -79,6 +80,12 @@ WINDOW same AS (PARTITION BY norm)
 """
 
 
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document without 50-byte strings of earlier documents."""
+    return substring_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
