@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -32,6 +33,15 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of results that nothing holds any more.
+
+    It acts on what the driver's garbage collector finds, which may else come late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; a null text is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

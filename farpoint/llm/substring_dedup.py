@@ -32,6 +32,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from itertools import groupby
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, fixed, per_batch
+from ..session import drop_path, materialise, materialise_at
+from .common import LAST_ID, fixed, per_batch, release
 
 LENGTH, GRAM = 50, 20
 BUCKET = 2048
 BLOOM_BITS = 1 << 28
+HOT_ANCHORS = 100_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(29))
 
 
@@ -114,36 +117,46 @@ def suffix_array(text: list[int]) -> list[int]:
     return order[1:]
 
 
-def least_ids(contexts: list[bytes], ids: list[int], length: int = LENGTH) -> list[list[int]]:
-    """For every string of ``length`` bytes in every context, the smallest id of its equals."""
-    joined = b"\0".join(contexts)
-    text = [b + 1 for b in joined]
-    starts, at = [], 0
-    for context in contexts:
-        starts.append(at)
-        at += len(context) + 1
-    owner: dict[int, tuple[int, int]] = {}
-    for c, (start, context) in enumerate(zip(starts, contexts, strict=True)):
-        if c:
-            text[start - 1] = 0
-        for j in range(len(context) - length + 1):
-            owner[start + j] = c, j
+def least_ids(contexts: list[bytes], ids: list[int], at: list[int] | None = None,
+              length: int = LENGTH) -> list[list[int]]:
+    """For every string of ``length`` bytes in every context, the smallest id of its equals.
+
+    ``at`` is where each context holds one gram that all of them share and that lies
+    inside all their strings. It then counts as one symbol, together with what follows
+    it in all contexts alike, which shortens the text; equal strings stay neighbours.
+    """
+    common = len(commonprefix([x[a + GRAM:] for x, a in zip(contexts, at, strict=True)])) \
+        if at is not None else 0
+    text: list[int] = []
+    owner, starts = [], []
+    for c, context in enumerate(contexts):
+        n = len(context) - length + 1
+        starts += range(len(text), len(text) + n)
+        owner += [(c, j) for j in range(n)]
+        symbols = [b + 1 for b in context]
+        if at is not None:
+            symbols[at[c]:at[c] + GRAM + common] = [257]
+        text += symbols
+        text.append(0)
     out = [[0] * (len(context) - length + 1) for context in contexts]
+    place = dict(zip(starts, owner, strict=True))
     same: list[tuple[int, int]] = []
     last = None
 
     def close():
-        least = min(ids[c] for c, _ in same)
+        least = min([ids[c] for c, _ in same])
         for c, j in same:
             out[c][j] = least
     for s in suffix_array(text):
-        if s in owner:
-            string = joined[s:s + length]
+        found = place.get(s)
+        if found is not None:
+            c, j = found
+            string = contexts[c][j:j + length]
             if string != last and same:
                 close()
                 same = []
             last = string
-            same.append(owner[s])
+            same.append(found)
     if same:
         close()
     return out
@@ -175,16 +188,25 @@ def sliding_min(values: np.ndarray, window: int) -> np.ndarray:
 
 
 def contexts_of(raw: np.ndarray, length: int = LENGTH):
-    """(anchor hash, first string, last string) of each run of strings with one anchor."""
+    """(anchor hash, first string, last string) of each run of strings with one anchor,
+    and the hashes of all grams."""
     if len(raw) < length:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint64), none, none, np.empty(0, np.uint64)
     grams = gram_hashes(raw)
     least = sliding_min(grams, length - GRAM + 1)
     n = len(least)
     # a run ends where the smallest hash changes or where the anchor itself is left behind
     new = np.r_[True, (least[1:] != least[:-1]) | (grams[:n - 1] == least[:-1])]
     first = np.flatnonzero(new)
-    return least[first], first, np.r_[first[1:], n] - 1
+    return least[first], first, np.r_[first[1:], n] - 1, grams
+
+
+def anchor_offsets(grams: np.ndarray, anchors: np.ndarray, first: np.ndarray,
+                   length: int = LENGTH) -> np.ndarray:
+    """Where each context holds its anchor, from its own start."""
+    window = np.arange(length - GRAM + 1)
+    return (grams[first[:, None] + window] == anchors[:, None]).argmax(axis=1)
 
 
 def bloom_probes(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -259,13 +281,18 @@ def bloom_filter(shared: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def passing_contexts(texts: DataFrame, bloom, length: int, with_bytes: bool) -> DataFrame:
-    """(anchor, content digest, id, text_key, first) of contexts whose anchor passes."""
-    kinds = "digest binary, " + ("anchor long, bytes binary, id long" if with_bytes else
-                                 "id long, text_key long, first int, n int")
+def content_digest(anchor: int, content: bytes) -> bytes:
+    import xxhash
+    return xxhash.xxh3_128_digest(content, seed=anchor & 0xFFFFFFFF)
+
+
+CONTENTS = "anchor long, at int, bytes binary, id long"
+PLACES = "digest binary, id long, text_key long, first int, n int"
+
 
+def passing_contexts(texts: DataFrame, bloom, length: int, contents: bool) -> DataFrame:
+    """The contexts whose anchor passes: their contents, or the places where they stand."""
     def make():
-        import xxhash
         filled = bloom.value
         bits = 8 * len(filled)
 
@@ -277,40 +304,41 @@ def passing_contexts(texts: DataFrame, bloom, length: int, with_bytes: bool) ->
             return np.flatnonzero(ok)
 
         def work(batch):
-            keys = batch.column("text_key").to_numpy()
-            out, size = [[] for _ in range(7)], 0
-            for i, (raw, ident) in enumerate(zip(batch.column("bytes").to_pylist(),
-                                                 batch.column("id").to_pylist(), strict=True)):
-                hashes, first, last = contexts_of(np.frombuffer(raw, np.uint8), length)
+            out, held = [], 0
+            for raw, ident, key in zip(*(batch.column(c).to_pylist() for c in
+                                         ("bytes", "id", "text_key")), strict=True):
+                hashes, first, last, grams = contexts_of(np.frombuffer(raw, np.uint8), length)
                 some = passes(hashes)
-                pieces = [raw[a:b] for a, b in zip(first[some].tolist(),
-                                                   (last[some] + length).tolist(), strict=True)]
-                size += sum(map(len, pieces))
-                signed = hashes[some].view(np.int64)
-                out[0] += [xxhash.xxh3_128_digest(p, seed=int(h) & 0xFFFFFFFF)
-                           for p, h in zip(pieces, signed.tolist(), strict=True)]
-                out[1].append(signed)
-                out[2] += pieces
-                out[3].append(np.full(len(some), ident))
-                out[4].append(np.full(len(some), keys[i]))
-                out[5].append(first[some].astype(np.int32))
-                out[6].append((last - first + 1)[some].astype(np.int32))
-                if size > 1 << 23:
+                if not len(some):
+                    continue
+                anchors, first, last = hashes[some], first[some], last[some]
+                signed = anchors.view(np.int64).tolist()
+                pieces = [raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist(),
+                                                   strict=True)]
+                ids = np.full(len(some), ident)
+                if contents:
+                    at = anchor_offsets(grams, anchors, first, length)
+                    out.append((np.array(signed), at.astype(np.int32), pieces, ids))
+                else:
+                    out.append(([content_digest(h, p) for h, p in
+                                 zip(signed, pieces, strict=True)], ids,
+                                np.full(len(some), key), first.astype(np.int32),
+                                (last - first + 1).astype(np.int32)))
+                held += sum(map(len, pieces))
+                if held > 1 << 23:
                     yield rows(out)
-                    out, size = [[] for _ in range(7)], 0
-            yield rows(out)
+                    out, held = [], 0
+            if out:
+                yield rows(out)
 
         def rows(out):
-            whole = {"digest": pa.array(out[0], pa.binary()), "bytes": pa.array(out[2], pa.binary())}
-            for name, c, kind in (("anchor", out[1], np.int64), ("id", out[3], np.int64),
-                                  ("text_key", out[4], np.int64), ("first", out[5], np.int32),
-                                  ("n", out[6], np.int32)):
-                whole[name] = pa.array(np.concatenate(c) if c else np.empty(0, kind))
-            names = ["digest", *(("anchor", "bytes", "id") if with_bytes else
-                                 ("id", "text_key", "first", "n"))]
-            return pa.RecordBatch.from_arrays([whole[c] for c in names], names)
+            columns = [pa.array([x for part in c for x in part], pa.binary())
+                       if isinstance(c[0], list) else pa.array(np.concatenate(c))
+                       for c in zip(*out, strict=True)]
+            kinds = CONTENTS if contents else PLACES
+            return pa.RecordBatch.from_arrays(columns, [k.split()[0] for k in kinds.split(", ")])
         return work
-    return per_batch(texts, kinds, make)
+    return per_batch(texts, CONTENTS if contents else PLACES, make)
 
 
 VERDICT = "digest binary, starts array<int>, ids array<long>"
@@ -327,40 +355,61 @@ def decided(contents: DataFrame, length: int, bucket: int) -> DataFrame:
 
     Contents of which no document can lose a byte are left out.
     """
-    sizes = contents.groupBy("anchor").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > bucket).select("anchor")
-    small = contents.join(large, "anchor", "leftanti")
-    dealt = small.repartition("anchor").sortWithinPartitions("anchor")
+    large = fixed(contents.groupBy("anchor").agg(F.count("*").alias("n"))
+                  .filter(F.col("n") > bucket).select("anchor"))
+    # one row for each ``bucket`` contexts at most; sent to all tasks only if few
+    hot = F.broadcast(large) if large.count() <= HOT_ANCHORS else large
+    dealt = (contents.join(hot, "anchor", "leftanti")
+             .repartition("anchor").sortWithinPartitions("anchor"))
 
     def decide(batches):
         def rows():
             for batch in batches:
                 yield from zip(*(batch.column(c).to_pylist() for c in
-                                 ("anchor", "digest", "bytes", "least", "most")), strict=True)
+                                 ("anchor", "at", "bytes", "least", "most")), strict=True)
         out = []
-        for _, same in groupby(rows(), key=lambda r: r[0]):
-            same = list(same)
-            if len(same) == 1:
-                _, digest, _, least, most = same[0]
-                if least < most:
-                    out.append((digest, [0], [least]))
-            elif min(r[3] for r in same) < max(r[4] for r in same):
-                strings = least_ids([r[2] for r in same], [r[3] for r in same], length)
-                out += [(r[1], *runs_of(s)) for r, s in zip(same, strings, strict=True)
-                        if min(s) < r[4]]
+        for anchor, same in groupby(rows(), key=lambda r: r[0]):
+            grams: dict[bytes, list] = {}  # one, but for grams of equal hash
+            for row in same:
+                grams.setdefault(row[2][row[1]:row[1] + GRAM], []).append(row)
+            for rows_of in grams.values():
+                out += verdicts(anchor, rows_of)
             if len(out) >= 4096:
                 yield packed(out)
                 out = []
         if out:
             yield packed(out)
 
+    def verdicts(anchor, same):
+        if len(same) == 1:
+            _, _, content, least, most = same[0]
+            return [(content_digest(anchor, content), [0], [least])] if least < most else []
+        if min([r[3] for r in same]) == max([r[4] for r in same]):
+            return []
+        strings = least_ids([r[2] for r in same], [r[3] for r in same],
+                            [r[1] for r in same], length)
+        return [(content_digest(anchor, r[2]), *runs_of(s))
+                for r, s in zip(same, strings, strict=True) if min(s) < r[4]]
+
     def packed(out):
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (
                 pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())), strict=True)],
             ["digest", "starts", "ids"])
-    few = dealt.select("anchor", "digest", "bytes", "least", "most").mapInArrow(decide, VERDICT)
-    strings = (contents.join(large, "anchor", "leftsemi")
+
+    def digests():
+        def work(batch):
+            found = [content_digest(a, c) for a, c in zip(
+                batch.column("anchor").to_pylist(), batch.column("bytes").to_pylist(),
+                strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), batch.column("bytes"), batch.column("least")],
+                ["digest", "bytes", "least"])
+        return work
+    few = dealt.select("anchor", "at", "bytes", "least", "most").mapInArrow(decide, VERDICT)
+    strings = (per_batch(contents.join(hot, "anchor", "leftsemi")
+                         .select("anchor", "bytes", "least"),
+                         "digest binary, bytes binary, least long", digests)
                .select("digest", "least", "bytes", F.posexplode(F.expr(
                    f"sequence(1, octet_length(bytes) - {length} + 1)")).alias("j", "at"))
                .select("digest", "least", "j", F.expr(f"substring(bytes, at, {length})")
@@ -373,13 +422,22 @@ def decided(contents: DataFrame, length: int, bucket: int) -> DataFrame:
 
 
 def removed_runs(texts: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> DataFrame:
-    """(id, text_key, runs): the byte runs [start, end) that each document loses."""
+    """(id, text_key, runs): the byte runs [start, end) that each document loses.
+
+    Every step is written before the next, and what it needed is then let go.
+    """
     spark = texts.sparkSession
-    bloom = spark.sparkContext.broadcast(bloom_filter(fixed(shared_anchors(texts, length))))
-    contents = fixed(passing_contexts(texts, bloom, length, True)
-                     .groupBy("anchor", "digest", "bytes")
-                     .agg(F.min("id").alias("least"), F.max("id").alias("most")))
-    verdicts = fixed(decided(contents, length, bucket))
+    shared, path = materialise_at(shared_anchors(texts, length), "shared-anchors")
+    bloom = spark.sparkContext.broadcast(bloom_filter(shared))
+    drop_path(spark, path)
+    release(spark)
+    contents, path = materialise_at(
+        passing_contexts(texts, bloom, length, True).groupBy("anchor", "at", "bytes")
+        .agg(F.min("id").alias("least"), F.max("id").alias("most")), "contexts")
+    release(spark)
+    verdicts = materialise(decided(contents, length, bucket), "verdicts")
+    drop_path(spark, path)
+    release(spark)
     places = passing_contexts(texts, bloom, length, False)
     # strings a to b - 1 of a context cover its bytes a to b - 2 + length
     return (places.join(verdicts, "digest")
