@@ -53,7 +53,9 @@ def row_text(columns: list[str], types: dict[str, T.DataType] | None = None) ->
 def alert_text(id_col: str, columns: list[str], prefix: str = ALERT_PREFIX,
                types: dict[str, T.DataType] | None = None) -> Column:
     """Alert line for one row as a string column."""
-    line = (F.col(id_col).cast("long") + F.lit(1)).cast("string")
+    known = F.when(F.col(id_col).isNull(), F.raise_error(F.lit(
+        f"id column {id_col!r} is null in a flagged row"))).otherwise(F.col(id_col).cast("long"))
+    line = (known + F.lit(1)).cast("string")
     return F.concat(F.lit(prefix), line, F.lit(": "), row_text(columns, types))
 
 

@@ -6,11 +6,9 @@ Both metrics sum over the coordinates left to right from 0.0, the same order
 as MLlib's ``Vectors.sqdist`` and the reference's Manhattan loop, so the
 values are bit-identical.
 
-Nearest-centre distance is a per-row minimum over the model's centres. With
-up to ``MAX_INLINE_CENTRES`` centres it is a ``least(...)`` of literal
-arithmetic: no join, no UDF, all inside whole-stage codegen. Larger models
-use an Arrow-batched pandas UDF over a numpy copy of the centres (k x d
-doubles, the model itself), which still avoids pairing rows with centres.
+Nearest-centre distance is a per-row minimum over the model's centres: a
+``least(...)`` of literal arithmetic for any number of centres, with no join and
+no UDF, so a distance never depends on how many centres there are.
 """
 
 from __future__ import annotations
@@ -19,14 +17,9 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_INLINE_CENTRES = 64
-
-
 def squared_euclidean(xs: Sequence[Column], centre: Sequence[float]) -> Column:
     """Sum of squared coordinate differences (no square root)."""
     _check(xs, centre)
@@ -78,8 +71,6 @@ def nearest_distance(xs: Sequence[Column], centres: Sequence[Sequence[float]],
     key = metric_by_name(metric)
     if not centres:
         raise ValueError("the model has no centres")
-    if len(centres) > MAX_INLINE_CENTRES:
-        return _nearest_batched(xs, centres, key)
     fn = METRICS[key]
     dists = [fn(xs, c) for c in centres]
     return dists[0] if len(dists) == 1 else F.least(*dists)
@@ -90,34 +81,5 @@ def nearest_centre(xs: Sequence[Column], centres: Sequence[Sequence[float]],
     """Index of the closest centre (first one on ties)."""
     key = metric_by_name(metric)
     fn = METRICS[key]
-    dists = [fn(xs, c) for c in centres]
-    best = F.lit(0)
-    best_d = dists[0]
-    for i, d in enumerate(dists[1:], 1):
-        best = F.when(d < best_d, F.lit(i)).otherwise(best)
-        best_d = F.least(best_d, d)
-    return best
-
-
-def _nearest_batched(xs: Sequence[Column], centres: Sequence[Sequence[float]],
-                     key: str) -> Column:
-    for c in centres:
-        _check(xs, c)
-    grid = np.asarray(centres, dtype=np.float64)
-
-    @F.pandas_udf("double")
-    def _nearest(coords: pd.Series) -> pd.Series:
-        pts = np.stack(coords.to_numpy())
-        best = None
-        for row in grid:                  # k passes over a (batch, d) block
-            diff = pts - row
-            if key == "manhattan":
-                d = np.abs(diff).sum(axis=1)
-            else:
-                d = (diff * diff).sum(axis=1)
-            best = d if best is None else np.minimum(best, d)
-        if key == "euclidean_root":
-            best = np.sqrt(best)
-        return pd.Series(best)
-
-    return _nearest(F.array(*xs))
+    rated = [F.struct(fn(xs, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
+    return (rated[0] if len(rated) == 1 else F.least(*rated))["i"]

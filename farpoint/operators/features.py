@@ -99,6 +99,11 @@ class FeatureModel:
     def base_columns(self) -> list[str]:
         return list(self.numeric) + [index_name(s) for s in self.strings]
 
+    @property
+    def added_columns(self) -> list[str]:
+        """Columns that ``index`` adds."""
+        return [index_name(t.column) for t in self.labels]
+
     @property
     def dimension(self) -> int:
         n = len(self.base_columns)

@@ -29,8 +29,8 @@ from ..session import drop_path, materialise, materialise_at
 
 # Largest label set per column inlined as a literal map in the projection
 # (by count and by total UTF-8 size, which bounds the plan's size).
-INLINE_LABELS = 1024
-INLINE_LABEL_BYTES = 256 * 1024
+INLINE_LABELS = 32
+INLINE_LABEL_BYTES = 8 * 1024
 
 
 @dataclass
@@ -55,8 +55,9 @@ class LabelTable:
                                                          F.lit(None).cast("double"))
             lookup = F.create_map(*[x for k, v in self.mapping.items()
                                     for x in (F.lit(k), F.lit(v))])
-            out = df.withColumn(self.index_col, F.try_element_at(lookup, F.col(self.column)))
-            return out.where(F.col(self.index_col).isNotNull())
+            # filtered by the labels themselves, so the map is only read for kept rows
+            known = df.where(F.col(self.column).isin(*self.mapping))
+            return known.withColumn(self.index_col, F.try_element_at(lookup, F.col(self.column)))
         right = F.broadcast(self.frame) if self.local else self.frame
         joined = df.join(right, df[self.column] == right[self.label_col], "inner")
         return joined.drop(self.label_col)

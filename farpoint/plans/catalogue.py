@@ -11,6 +11,7 @@ Distances are rounded to 4 decimals on both sides.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +19,15 @@ from pyspark.sql import functions as F
 
 from ..functions.alerts import format_alerts
 from ..operators import clustering
-from ..operators.detection import stats_columns
+from ..operators.detection import DEFAULT_SIGMA, distance_stats
 from ..operators.features import FeatureModel, fit_features, split_features
 from ..session import scratch_path
-from ..sinks import write_text
+from ..sinks import write_alerts
 from ..sources import (column_frame, column_names, decode_kafka, preview, read_file,
-                       to_kafka_rows)
+                       read_source, schema_text, to_kafka_rows)
 from .model import AnomalyModel, Detection, train
 
 EVENT_FEATURES = ["event_type", "value", "user_id"]
-MAX_GROUP_CENTRES = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,14 +48,12 @@ def staged(df: DataFrame, file_type: str) -> str:
 
 
 def group_centres(prep: FeatureModel, df: DataFrame, group_col: str) -> list[list[float]]:
-    """Mean coordinates per group, in group-label order (at most 64 groups)."""
+    """Mean coordinates per group, in group-label order: one centre per group."""
     coords = prep.transform(df)
     dim = prep.dimension
     rows = (coords.groupBy(group_col)
             .agg(*[F.avg(f"f_{i}").alias(f"m_{i}") for i in range(dim)])
-            .orderBy(group_col).limit(MAX_GROUP_CENTRES + 1).collect())
-    if len(rows) > MAX_GROUP_CENTRES:
-        raise ValueError(f"more than {MAX_GROUP_CENTRES} groups in {group_col!r}")
+            .orderBy(group_col).collect())
     return [[float(r[f"m_{i}"]) for i in range(dim)] for r in rows]
 
 
@@ -80,7 +78,8 @@ def _id_distance(df: DataFrame) -> DataFrame:
 
 def q_csv_scan(spark, sf_dir):
     """Customer written as CSV, read back with header + inference."""
-    return read_file(spark, staged(table(spark, sf_dir, "customer"), "csv"), "csv")
+    return read_source(spark, "file", file_type="csv",
+                       path=staged(table(spark, sf_dir, "customer"), "csv"))
 
 
 def q_json_scan(spark, sf_dir):
@@ -108,8 +107,8 @@ def q_preview(spark, sf_dir):
 
 def q_schema_fields(spark, sf_dir):
     """Field names and type names of customer."""
-    fields = table(spark, sf_dir, "customer").schema.fields
-    return spark.createDataFrame([(i, f.name, f.dataType.typeName()) for i, f in enumerate(fields)],
+    lines = re.findall(r"\|-- (.*): (\w+) \(nullable", schema_text(table(spark, sf_dir, "customer")))
+    return spark.createDataFrame([(i, *f) for i, f in enumerate(lines)],
                                  "position int, column_name string, data_type string")
 
 
@@ -216,11 +215,12 @@ def q_distance_stats(spark, sf_dir):
     """A1-A4: mean, sample std and both thresholds of the squared distances."""
     model, events = _events_model(spark, sf_dir, "kMeans")
     scored, _ = model.score(events, "euclidean", preparation=model.preparation)
-    st = scored.agg(*stats_columns(F.col("distance")))
-    return st.select(
-        F.col("n"), F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
-        F.round(F.col("mean") + 4.0 * F.col("std"), 4).alias("threshold_kmeans"),
-        F.round(F.col("mean") + 3.0 * F.col("std"), 4).alias("threshold_bisecting"))
+    st = distance_stats(scored)
+    row = (st.count, st.mean, st.std, st.threshold(DEFAULT_SIGMA["kmeans"]),
+           st.threshold(DEFAULT_SIGMA["bisectingkmeans"]))
+    found = spark.createDataFrame([row], "n long, mean double, std double, "
+                                  "threshold_kmeans double, threshold_bisecting double")
+    return found.select("n", *[F.round(c, 4).alias(c) for c in found.columns[1:]])
 
 
 def q_detect_kmeans_rule_euclid(spark, sf_dir):
@@ -243,8 +243,8 @@ def q_detect_bisecting_rule_manhattan(spark, sf_dir):
 
 def q_any_anomaly(spark, sf_dir):
     """A5: whether any row is flagged."""
-    flagged = _detect(spark, sf_dir, "kMeans", "euclidean").flagged
-    return flagged.agg((F.count(F.lit(1)) > 0).alias("any_anomaly"))
+    found = _detect(spark, sf_dir, "kMeans", "euclidean").found()
+    return spark.createDataFrame([(found,)], "any_anomaly boolean")
 
 
 def q_sqrt_rule(spark, sf_dir):
@@ -268,8 +268,8 @@ def q_text_sink_append(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     alerts = format_alerts(events, "event_id")
     path = scratch_path(spark, "alerts")
-    write_text(alerts, path)
-    write_text(alerts, path)
+    write_alerts(alerts, "file", path=path)
+    write_alerts(alerts, "file", path=path)
     return spark.read.text(path)
 
 

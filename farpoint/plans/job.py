@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 from ..functions.alerts import NONE_FOUND
-from ..sinks import write_alerts
+from ..sinks import all_lines, write_alerts
 from ..session import list_files
 from ..sources import read_source
+from ..sources.kafka import pinned_offsets, read_kafka
 from .model import AnomalyModel, Detection, train
 
 
@@ -44,6 +46,10 @@ class JobConfig:
     output: str = "file"
     output_path: str | None = None
     output_topic: str | None = None
+    console_limit: int | None = None      # None: every alert line
+    starting_offsets: str | None = None
+    ending_offsets: str | None = None
+    kafka_options: dict[str, str] | None = None
 
 
 @dataclass
@@ -58,15 +64,26 @@ def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobRe
     train_df = read_source(spark, cfg.source, path=cfg.train_path, file_type=cfg.file_type,
                            brokers=cfg.brokers, topic=cfg.input_topic,
                            value_schema=cfg.value_schema, schema=cfg.schema,
-                           sampling_ratio=cfg.sampling_ratio)
+                           sampling_ratio=cfg.sampling_ratio,
+                           starting_offsets=cfg.starting_offsets,
+                           ending_offsets=cfg.ending_offsets, options=cfg.kafka_options)
     # Row formats are parsed in full on every pass: stage the chosen columns.
     row_format = cfg.source.lower() == "kafka" or cfg.file_type.lower() in ("csv", "json")
     model = train(train_df, cfg.features, cfg.algorithm, k=cfg.k, layout=cfg.layout,
                   stage_features=row_format)
+    topic = cfg.score_topic or cfg.input_topic
+    ending = cfg.ending_offsets
+    if cfg.source.lower() == "kafka":
+        # the statistics and the flag pass must read the same records of a live topic
+        ending = pinned_offsets(read_kafka(spark, cfg.brokers or "", topic or "",
+                                           starting_offsets=cfg.starting_offsets,
+                                           ending_offsets=ending, options=cfg.kafka_options))
     score_df = read_source(spark, cfg.source, path=cfg.score_path, file_type=cfg.file_type,
-                           brokers=cfg.brokers, topic=cfg.score_topic or cfg.input_topic,
+                           brokers=cfg.brokers, topic=topic,
                            value_schema=cfg.value_schema, schema=cfg.schema,
-                           sampling_ratio=cfg.sampling_ratio)
+                           sampling_ratio=cfg.sampling_ratio,
+                           starting_offsets=cfg.starting_offsets,
+                           ending_offsets=ending, options=cfg.kafka_options)
     det = model.detect(score_df, cfg.metric, n_sigma=cfg.n_sigma, refit=cfg.refit,
                        rule=cfg.rule, id_col=cfg.id_col, stage_features=row_format)
     new_files = None
@@ -80,15 +97,15 @@ def run_job(spark: SparkSession, cfg: JobConfig, *, write: bool = True) -> JobRe
     return JobResult(model, det, det.found(), new_files)
 
 
-def console_lines(spark: SparkSession, cfg: JobConfig, res: JobResult, n: int = 20) -> list[str]:
-    """Up to ``n`` alert lines for the console without rescoring the table:
-    none-found comes from the statistics; file alerts are read back from the
-    part files this run appended (small: flagged rows only)."""
+def console_lines(spark: SparkSession, cfg: JobConfig, res: JobResult) -> Iterator[str]:
+    """The alert lines for the console without rescoring the table: none-found
+    comes from the statistics; file alerts are read back from the part files this
+    run appended. All lines, or the first ``cfg.console_limit`` and a notice."""
     if not res.found:
-        return [NONE_FOUND]
+        return iter([NONE_FOUND])
     if res.new_files:                     # this run's lines only (the sink appends)
-        return [r["value"] for r in spark.read.text(res.new_files).take(n)]
-    return res.detection.report(n)
+        return all_lines(spark.read.text(res.new_files), cfg.console_limit)
+    return all_lines(res.detection.alerts(), cfg.console_limit)
 
 
 def _parse(argv: list[str] | None) -> JobConfig:
@@ -115,6 +132,9 @@ def _parse(argv: list[str] | None) -> JobConfig:
     p.add_argument("--output", default="file")
     p.add_argument("--output-path")
     p.add_argument("--output-topic")
+    p.add_argument("--console-limit", type=int, help="print so many alert lines at most")
+    p.add_argument("--starting-offsets")
+    p.add_argument("--ending-offsets")
     a = p.parse_args(argv)
     return JobConfig(features=a.features, train_path=a.train_path, score_path=a.score_path,
                      source=a.source, file_type=a.file_type, brokers=a.brokers,
@@ -123,7 +143,8 @@ def _parse(argv: list[str] | None) -> JobConfig:
                      sampling_ratio=a.sampling_ratio, algorithm=a.algorithm, metric=a.metric,
                      n_sigma=a.n_sigma, rule=a.rule, refit=not a.no_refit, layout=a.layout,
                      id_col=a.id_col, k=a.k, output=a.output, output_path=a.output_path,
-                     output_topic=a.output_topic)
+                     output_topic=a.output_topic, console_limit=a.console_limit,
+                     starting_offsets=a.starting_offsets, ending_offsets=a.ending_offsets)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -23,29 +23,48 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.alerts import NONE_FOUND, format_alerts, resolve_id_column
+from ..functions.alerts import format_alerts, resolve_id_column
 from ..functions.distance import metric_by_name, nearest_centre, nearest_distance
 from ..operators import clustering
 from ..operators.detection import (DEFAULT_SIGMA, DistanceStats, distance_stats,
                                    rule_by_name, sigma_predicate, sqrt_predicate)
 from ..operators.features import FeatureModel, fit_features
-from ..session import drop_path, materialise_at, tune_codegen
+from ..sinks import console_lines
+from ..session import drop_path, ensure_checkpoint_dir, materialise_at, tune_codegen
 
 DISTANCE_COL = "distance"
 THRESHOLD_COL = "threshold"
 
 
-def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
-    """Optionally spread an under-partitioned frame over ``partitions`` tasks.
+def spread(rows: DataFrame, partitions: int | None) -> DataFrame:
+    """Optionally deal the chosen columns over ``partitions`` tasks by their values.
 
-    Off by default: a large input already has far more scan partitions than
-    cores, and k-means|| initialisation depends on the partitioning, so the
-    default keeps the input's own split (as the reference does). A small
-    file read as one split can be spread to use every core for the fits.
+    Off by default: k-means|| starts from the rows as they are split, and the
+    default keeps the input's own split (as the reference does). Rows dealt by
+    value and sorted start it alike whatever the input's files, splits or cores;
+    what is left are last-bit differences of the standard deviations.
     """
-    if partitions and frame.rdd.getNumPartitions() < partitions:
-        return frame.repartition(partitions)
-    return frame
+    if not partitions:
+        return rows
+    key = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.repartition(partitions, *key).sortWithinPartitions(*key)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it while a column has that name."""
+    lowered = {c.lower() for c in columns}
+    while name.lower() in lowered:
+        name = f"_{name}"
+    return name
+
+
+def required(value, *inputs):
+    """``value``, or an error on a row where an input is null or NaN."""
+    bad = F.lit(False)
+    for column in inputs:
+        bad = bad | column.isNull() | F.isnan(column)
+    return F.when(bad, F.raise_error(F.lit(
+        "a numeric feature of a scored row is null or NaN"))).otherwise(value)
 
 
 def _require_batch(df: DataFrame) -> None:
@@ -54,27 +73,13 @@ def _require_batch(df: DataFrame) -> None:
                          "farpoint.streaming.detect_each_batch")
 
 
-# Target size of one partition of the written training coordinates.
-COORD_PARTITION_BYTES = 128 * 1024 * 1024
-
-
-def size_partitions(frame: DataFrame, rows: int, dimension: int) -> DataFrame:
-    """Merge small partitions of the coordinate frame (no shuffle).
-
-    The coordinates are a fraction of the source's width, so a large source
-    split into ~128 MB scan partitions would give many tiny coordinate
-    partitions, and every k-means iteration of every fit would schedule all
-    of them. Coalesce to about 128 MB per partition (at least two per core,
-    for balance) when the frame has more than twice that many; small inputs
-    keep their split (k-means|| initialisation depends on it).
-    """
-    from math import ceil
-    from ..session import default_parallelism
-    est = rows * (8 * max(1, dimension) + 96)
-    target = max(2 * default_parallelism(frame.sparkSession), ceil(est / COORD_PARTITION_BYTES))
-    if frame.rdd.getNumPartitions() > 2 * target:
-        return frame.coalesce(target)
-    return frame
+def checkpointed(frame: DataFrame) -> tuple[DataFrame, str | None]:
+    """``frame`` written to the checkpoint folder, row order and split unchanged,
+    and the written path (for ``drop_path``)."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    out = frame.checkpoint(eager=True)
+    file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    return out, file.get() if file.isDefined() else None
 
 
 @dataclass
@@ -102,10 +107,9 @@ class Detection:
         return not self.flagged.isEmpty()
 
     def report(self, n: int = 20) -> list[str]:
-        """Console form (K4): the first ``n`` alert lines, or the none-found
-        message. Only ``n`` rows reach the driver; use a sink for all."""
-        lines = [r["value"] for r in self.alerts().take(n)]
-        return lines or [NONE_FOUND]
+        """Console form (K4): the first ``n`` alert lines and a notice if there are
+        more, or the none-found message. The job prints every line by default."""
+        return console_lines(self.alerts(), n)
 
 
 @dataclass
@@ -137,28 +141,34 @@ class AnomalyModel:
         metric = metric_by_name(metric)
         tune_codegen(df.sparkSession)
         source_columns = list(df.columns)
-        for name in (DISTANCE_COL, THRESHOLD_COL):
-            if name in source_columns:
-                raise ValueError(f"the scored table already has a {name!r} column")
         prep = preparation or (fit_features(df, self.features, layout=self.preparation.layout)
                                if refit else self.preparation)
         if prep.base_columns != self.preparation.base_columns:
             raise ValueError("scored table gives a different feature layout "
                              f"({prep.base_columns} vs {self.preparation.base_columns})")
-        indexed = prep.index(df)
+        indexed, back = self._indexed(prep, df)
         dist = nearest_distance(prep.layout_columns(), self.centres, metric)
-        scored = indexed.select(*[F.col(c) for c in source_columns], dist.alias(DISTANCE_COL))
+        scored = indexed.select(*back, dist.alias(free_name(source_columns, DISTANCE_COL)))
         return scored, source_columns
 
+    @staticmethod
+    def _indexed(prep: FeatureModel, df: DataFrame) -> tuple[DataFrame, list]:
+        """``df`` with the index columns, and its own columns under their own names."""
+        taken = {c: f"__fp_source_{i}" for i, c in enumerate(df.columns)
+                 if c in prep.added_columns}
+        indexed = prep.index(df.withColumnsRenamed(taken))
+        return indexed, [F.col(taken.get(c, c)).alias(c) for c in df.columns]
+
     def assign(self, df: DataFrame, metric: str = "euclidean", refit: bool = True) -> DataFrame:
         """Source columns + index of the nearest centre."""
         tune_codegen(df.sparkSession)
         prep = fit_features(df, self.features, layout=self.preparation.layout) if refit \
             else self.preparation
-        indexed = prep.index(df)
-        return indexed.select(*[F.col(c) for c in df.columns],
-                              nearest_centre(prep.layout_columns(), self.centres,
-                                             metric).alias("prediction"))
+        indexed, back = self._indexed(prep, df)
+        coords = prep.layout_columns()
+        return indexed.select(*back, required(
+            nearest_centre(coords, self.centres, metric), *coords)
+            .alias(free_name(df.columns, "prediction")))
 
     def detect(self, df: DataFrame, metric: str = "euclidean", *, n_sigma: float | None = None,
                refit: bool = True, rule: str = "sigma", id_col: str | None = None,
@@ -182,8 +192,10 @@ class AnomalyModel:
                                            layout=self.preparation.layout)
         try:
             scored, source_columns = self.score(df, metric, refit, preparation)
-            dist = F.col(DISTANCE_COL)
+            distance = free_name(source_columns, DISTANCE_COL)
+            dist = F.col(distance)
             if rule == "sqrt":
+                scored = scored.withColumn(distance, required(dist, dist))
                 return Detection(scored, scored.where(sqrt_predicate(dist)), None, None, None,
                                  rule, id_name, source_columns)
             sigma = self.default_sigma if n_sigma is None else float(n_sigma)
@@ -192,13 +204,14 @@ class AnomalyModel:
                                             preparation if refit else None)
             else:
                 stats_input = scored
-            stats = distance_stats(stats_input)
+            stats = distance_stats(stats_input, stats_input.columns[-1])
         finally:
             if staged is not None:
                 drop_path(df.sparkSession, staged_path)
         threshold = stats.threshold(sigma)
         flagged = (scored.where(sigma_predicate(dist, threshold))
-                   .withColumn(THRESHOLD_COL, F.lit(float(threshold))))
+                   .withColumn(free_name(source_columns, THRESHOLD_COL),
+                               F.lit(float(threshold))))
         return Detection(scored, flagged, stats, threshold, sigma, rule, id_name, source_columns)
 
     @classmethod
@@ -223,19 +236,19 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
     """Fit the preparation and a clustering model on ``df``.
 
     With ``k`` given, the silhouette search is skipped. ``parallelism`` runs
-    that many search fits at once; ``partitions`` spreads a small input.
+    that many search fits at once; ``partitions`` deals the rows by value, which
+    makes the model independent of how the input is split.
     ``cache=False`` re-derives the coordinates from the source on every pass
     (what the reference does; only useful to measure the written table's worth).
     ``stage_features`` (for CSV / JSON / Kafka sources) writes the chosen
     columns once, so the fit and the coordinate pass do not parse the source
     rows twice.
 
-    The coordinates are written once to the shared checkpoint folder and read
-    back: the fits and silhouette passes scan that compact table instead of
-    the source, the lineage is cut (a lost executor costs a re-read, not a
-    re-preparation), and, since the frame is not a cached DataFrame, MLlib
-    persists its own deserialised (vector, weight) RDD for the iterations,
-    which is about twice as fast to iterate as the columnar cache.
+    The coordinates are checkpointed once in the shared checkpoint folder, in
+    the order and split they have: the fits and silhouette passes read that
+    compact copy instead of the source and a lost executor costs a re-read, not
+    a re-preparation. The model is the one that ``cache=False`` and a direct
+    MLlib fit on the same coordinates give. The copy is deleted after the fits.
     """
     algo = clustering.algorithm_by_name(algorithm)
     _require_batch(df)
@@ -256,10 +269,10 @@ def _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism, parti
     if prep.rows_kept == 0:
         raise ValueError("no rows left to train on (empty table, or every row has a "
                          "null string feature)")
-    frame = spread(size_partitions(prep.vectors(df), prep.rows_kept, prep.dimension), partitions)
+    frame = prep.vectors(spread(df.select(*features), partitions))
     written = None
     if cache:
-        frame, written = materialise_at(frame, "train-coords")
+        frame, written = checkpointed(frame)
     if parallelism is None:
         parallelism = clustering.default_search_parallelism(
             prep.rows_kept, prep.dimension, k_max - k_min + 1)

@@ -74,7 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the cluster names no shared folder (local tests).
+        # A folder of this machine is no use to other machines' executors.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="farpoint-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

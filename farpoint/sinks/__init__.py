@@ -8,6 +8,8 @@ message per line with no key. Write errors propagate.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 
 from ..functions.alerts import NONE_FOUND
@@ -49,6 +51,24 @@ def write_alerts(alerts: DataFrame, kind: str = "file", *, path: str | None = No
 
 
 def console_lines(alerts: DataFrame, n: int = 20) -> list[str]:
-    """K4: the first ``n`` lines for printing, or the none-found message."""
-    lines = [r["value"] for r in _value_only(alerts).take(n)]
-    return lines or [NONE_FOUND]
+    """K4: the first ``n`` lines and a notice if there are more, or the none-found message."""
+    return list(all_lines(alerts, n))
+
+
+def all_lines(alerts: DataFrame, n: int | None = None) -> Iterator[str]:
+    """K4: every line for printing, or the none-found message.
+
+    Rows come partition by partition, so the driver never holds them all. With
+    ``n``, that many lines and a notice if there are more.
+    """
+    values = _value_only(alerts)
+    shown = 0
+    rows = values.toLocalIterator() if n is None else iter(values.take(n + 1))
+    for row in rows:
+        if shown == n:
+            yield f"... more lines follow; only the first {n} are shown"
+            return
+        shown += 1
+        yield row["value"]
+    if not shown:
+        yield NONE_FOUND

@@ -8,6 +8,8 @@ columns before features can be chosen - the step the reference lacks.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,6 +38,18 @@ def read_kafka(spark: SparkSession, brokers: str, topic: str, *,
     return reader.load()
 
 
+def pinned_offsets(raw: DataFrame) -> str | None:
+    """The ``endingOffsets`` JSON that fixes a topic read at the records it has now.
+
+    One row per topic partition reaches the driver. None if there are no records.
+    """
+    ends = raw.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end")).collect()
+    out: dict[str, dict[str, int]] = {}
+    for r in ends:
+        out.setdefault(r["topic"], {})[str(r["partition"])] = r["end"]
+    return json.dumps(out, sort_keys=True) if out else None
+
+
 def decode_kafka(df: DataFrame, schema: StructType | str, *, keep_key: bool = False) -> DataFrame:
     """Parse the JSON payload in ``value`` into top-level columns."""
     parsed = F.from_json(F.col("value").cast("string"), schema).alias("r")

@@ -15,7 +15,9 @@ def read_source(spark: SparkSession, kind: str = "file", *, path: str | None = N
                 file_type: str = "csv", brokers: str | None = None, topic: str | None = None,
                 value_schema: StructType | str | None = None,
                 schema: StructType | str | None = None,
-                sampling_ratio: float | None = None) -> DataFrame:
+                sampling_ratio: float | None = None, starting_offsets: str | None = None,
+                ending_offsets: str | None = None,
+                options: dict[str, str] | None = None) -> DataFrame:
     """``file`` → a file scan of ``file_type``; ``kafka`` → a batch topic read,
     decoded with ``value_schema`` when given. Other kinds raise."""
     key = (kind or "").lower()
@@ -24,6 +26,7 @@ def read_source(spark: SparkSession, kind: str = "file", *, path: str | None = N
             raise ValueError("a file source needs a path")
         return read_file(spark, path, file_type, schema=schema, sampling_ratio=sampling_ratio)
     if key == "kafka":
-        raw = read_kafka(spark, brokers or "", topic or "")
+        raw = read_kafka(spark, brokers or "", topic or "", starting_offsets=starting_offsets,
+                         ending_offsets=ending_offsets, options=options)
         return decode_kafka(raw, value_schema) if value_schema is not None else raw
     raise ValueError(f"unsupported source type {kind!r}; expected one of {SOURCE_KINDS}")

@@ -291,3 +291,59 @@ def test_argument_validation(spark, mall, models):
         models["kMeans"].detect(clean, rule="iqr")
     with pytest.raises(ValueError, match="layout"):
         train(clean, MALL_FEATURES, "kMeans", k=3, layout="wide")
+
+
+def test_null_and_nan_features_and_null_ids_fail_on_every_path(spark, mall, models):
+    """Neither the sqrt rule nor assign drops or misplaces such a row."""
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+    clean, planted = mall
+    model = models["kMeans"]
+    for bad in (F.lit(None).cast("double"), F.lit(float("nan"))):
+        holes = clean.withColumn("Age", F.when(F.col("id") == 3, bad).otherwise(F.col("Age")))
+        for make in (lambda: model.detect(holes, refit=False, rule="sqrt").flagged,
+                     lambda: model.assign(holes, refit=False)):
+            with pytest.raises(PySparkException, match="null or NaN"):
+                make().collect()
+    lost = planted.withColumn("id", F.when(F.col("id") != 50, F.col("id")))
+    with pytest.raises(PySparkException, match="is null"):
+        model.detect(lost).alerts().collect()
+
+
+def test_ordinary_column_names_are_accepted(spark, mall, models):
+    from pyspark.sql import functions as F
+    _, planted = mall
+    model = models["kMeans"]
+    named = planted.select("*", F.lit("a").alias("distance"), F.lit("b").alias("threshold"),
+                           F.lit("c").alias("Genre_index"))
+    found = model.detect(named)
+    assert found.scored.columns == [*named.columns, "_distance"]
+    assert sorted((r["id"], r["distance"], r["threshold"], r["Genre_index"])
+                  for r in found.flagged.collect()) == [(50, "a", "b", "c"), (72, "a", "b", "c")]
+
+
+def test_console_says_when_lines_are_left_out(spark, mall, models):
+    _, planted = mall
+    found = models["kMeans"].detect(planted)
+    assert len(found.report(2)) == 2
+    assert len(found.report(1)) == 2 and "more lines" in found.report(1)[1]
+
+
+def test_many_centres_give_the_same_distance_form(spark):
+    from pyspark.sql import functions as F
+    from farpoint.functions.distance import nearest_centre, nearest_distance, squared_euclidean
+    centres = [[float(i), float(-i)] for i in range(70)]
+    df = spark.createDataFrame([(i * 0.37, i * -0.41) for i in range(100)], "a double, b double")
+    xs = [F.col("a"), F.col("b")]
+    for row in df.select(nearest_distance(xs, centres), nearest_centre(xs, centres), *[
+            squared_euclidean(xs, c) for c in centres]).collect():
+        each = list(row)[2:]
+        assert row[0] == min(each) and row[1] == each.index(min(each))
+
+
+def test_pinned_offsets(spark):
+    from farpoint.sources.kafka import pinned_offsets
+    raw = spark.createDataFrame([("t", 0, 4), ("t", 0, 9), ("t", 1, 2)],
+                                "topic string, partition int, offset long")
+    assert pinned_offsets(raw) == '{"t": {"0": 10, "1": 3}}'
+    assert pinned_offsets(raw.limit(0)) is None

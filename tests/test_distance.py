@@ -33,7 +33,7 @@ def test_metric_names_case_insensitive():
 def test_nearest_inline_vs_batched(spark):
     import random
     rnd = random.Random(7)
-    centres = [[rnd.uniform(-5, 5), rnd.uniform(-5, 5)] for _ in range(D.MAX_INLINE_CENTRES + 6)]
+    centres = [[rnd.uniform(-5, 5), rnd.uniform(-5, 5)] for _ in range(70)]
     df = spark.createDataFrame([(rnd.uniform(-6, 6), rnd.uniform(-6, 6)) for _ in range(50)],
                                "a double, b double")
     xs = [F.col("a"), F.col("b")]

@@ -129,6 +129,7 @@ def test_label_byte_bounds_choose_tier(spark, monkeypatch):
     from farpoint.operators import features as feat
     from farpoint.operators import indexing
     customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    monkeypatch.setattr(indexing, "INLINE_LABELS", 1024)
     base = fit_features(customer, ["c_name", "c_acctbal"])
     assert base.labels[0].mapping is not None                      # inline
     monkeypatch.setattr(indexing, "INLINE_LABEL_BYTES", 100)
