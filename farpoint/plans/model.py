@@ -136,8 +136,12 @@ class AnomalyModel:
         return DEFAULT_SIGMA[self.algorithm]
 
     def score(self, df: DataFrame, metric: str = "euclidean", refit: bool = True,
-              preparation: FeatureModel | None = None) -> tuple[DataFrame, list[str]]:
-        """Source columns + ``distance`` for every kept row (D4 + J1)."""
+              preparation: FeatureModel | None = None,
+              strict: bool = False) -> tuple[DataFrame, list[str]]:
+        """Source columns + ``distance`` for every kept row (D4 + J1).
+
+        ``strict`` raises on a null or NaN numeric feature while rows are read.
+        """
         metric = metric_by_name(metric)
         tune_codegen(df.sparkSession)
         source_columns = list(df.columns)
@@ -148,6 +152,8 @@ class AnomalyModel:
                              f"({prep.base_columns} vs {self.preparation.base_columns})")
         indexed, back = self._indexed(prep, df)
         dist = nearest_distance(prep.layout_columns(), self.centres, metric)
+        if strict:
+            dist = required(dist, *prep.raw_columns())
         scored = indexed.select(*back, dist.alias(free_name(source_columns, DISTANCE_COL)))
         return scored, source_columns
 
@@ -165,9 +171,8 @@ class AnomalyModel:
         prep = fit_features(df, self.features, layout=self.preparation.layout) if refit \
             else self.preparation
         indexed, back = self._indexed(prep, df)
-        coords = prep.layout_columns()
-        return indexed.select(*back, required(
-            nearest_centre(coords, self.centres, metric), *coords)
+        nearest = nearest_centre(prep.layout_columns(), self.centres, metric)
+        return indexed.select(*back, required(nearest, *prep.raw_columns())
             .alias(free_name(df.columns, "prediction")))
 
     def detect(self, df: DataFrame, metric: str = "euclidean", *, n_sigma: float | None = None,
@@ -191,11 +196,11 @@ class AnomalyModel:
                 preparation = fit_features(staged, self.features,
                                            layout=self.preparation.layout)
         try:
-            scored, source_columns = self.score(df, metric, refit, preparation)
+            scored, source_columns = self.score(df, metric, refit, preparation,
+                                                strict=rule == "sqrt")
             distance = free_name(source_columns, DISTANCE_COL)
             dist = F.col(distance)
             if rule == "sqrt":
-                scored = scored.withColumn(distance, required(dist, dist))
                 return Detection(scored, scored.where(sqrt_predicate(dist)), None, None, None,
                                  rule, id_name, source_columns)
             sigma = self.default_sigma if n_sigma is None else float(n_sigma)
