@@ -1,6 +1,7 @@
 """Driver contract: entry(), queries(), oracle_sql() and the DuckDB check."""
 
 import __spark_entry__ as entry
+from farpoint.plans.catalogue import QUERIES
 from conftest import SF_SMALL
 
 FAST = ["csv_scan", "json_scan", "kafka_decode", "column_names", "preview", "schema_fields",
@@ -17,7 +18,8 @@ FAST = ["csv_scan", "json_scan", "kafka_decode", "column_names", "preview", "sch
 def test_contract_keys():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"train_detect_kmeans", "train_detect_bisecting"}
+    assert set(QUERIES) <= set(qs)
+    assert set(QUERIES) - set(sql) == {"train_detect_kmeans", "train_detect_bisecting"}
 
 
 def test_entry_flags_rows(spark):
