@@ -56,23 +56,44 @@ def suffix_array(text: list[int]) -> list[int]:
     members: dict[int, set[int]] = {}
     for i, c in enumerate(text):
         members.setdefault(c, set()).add(i)
-    lower: dict[int, int] = {}  # the next lower group
     group = [0] * n
-    names = sorted(members)
-    groups: list[set[int]] = []
-    for g, c in enumerate(names):
-        groups.append(members[c])
-        lower[g] = g - 1
-        for i in members[c]:
+    groups = [members[c] for c in sorted(members)]
+    for g, block in enumerate(groups):
+        for i in block:
             group[i] = g
-    higher = {g: g + 1 for g in range(len(names))}
-    higher[-1], higher[len(names) - 1] = 0, -1
+    # neighbours of each group; new groups come above an old one, so 0 stays the lowest
+    lower = list(range(-1, len(groups) - 1))
+    higher = [*range(1, len(groups)), -1]
+
+    def split(moved: set[int], old: int) -> None:
+        new, above = len(groups), higher[old]
+        groups.append(moved)
+        for j in moved:
+            group[j] = new
+        lower.append(old)
+        higher.append(above)
+        higher[old] = new
+        if above >= 0:
+            lower[above] = new
     previous = [-1] * n
     done = bytearray(n)
-    g = len(names) - 1
+    g = len(groups) - 1
     while g >= 0:
+        block = groups[g]
+        if len(block) == 1:  # one suffix moves one other at most
+            for i in block:
+                done[i] = 1
+                j = i - 1
+                while j >= 0 and done[j]:
+                    j = previous[j]
+                previous[i] = j
+            if j >= 0 and len(groups[group[j]]) > 1:
+                groups[group[j]].remove(j)
+                split({j}, group[j])
+            g = lower[g]
+            continue
         times: dict[int, int] = {}
-        for i in sorted(groups[g]):
+        for i in sorted(block):
             done[i] = 1
             j = i - 1
             while j >= 0 and done[j]:
@@ -80,25 +101,16 @@ def suffix_array(text: list[int]) -> list[int]:
             previous[i] = j
             if j >= 0:
                 times[j] = times.get(j, 0) + 1
-        parts: dict[tuple[int, int], list[int]] = {}
+        parts: dict[tuple[int, int], set[int]] = {}
         for j, k in times.items():
-            parts.setdefault((k, group[j]), []).append(j)
+            parts.setdefault((k, group[j]), set()).add(j)
         for k, old in sorted(parts, reverse=True):
             moved = parts[k, old]
-            if len(moved) == len(groups[old]):
-                continue  # the whole group moves: its place is the same
-            new = len(groups)
-            groups.append(set(moved))
-            groups[old].difference_update(moved)
-            for j in moved:
-                group[j] = new
-            above = higher[old]
-            lower[new], higher[new] = old, above
-            higher[old] = new
-            if above >= 0:
-                lower[above] = new
+            if len(moved) < len(groups[old]):  # else the whole group's place is the same
+                groups[old] -= moved
+                split(moved, old)
         g = lower[g]
-    at, free, place = higher[-1], 1, [0] * len(groups)
+    at, free, place = 0 if n else -1, 1, [0] * len(groups)
     while at >= 0:
         place[at] = free
         free += len(groups[at])
@@ -117,48 +129,66 @@ def suffix_array(text: list[int]) -> list[int]:
     return order[1:]
 
 
+def alike(sides: list[bytes]) -> int:
+    """How far all ``sides`` agree, each as far as it goes."""
+    longest = max(sides, key=len)
+    return min([len(commonprefix([longest, s])) for s in sides if not longest.startswith(s)],
+               default=len(longest))
+
+
+END, JOINT = -1, 256
+
+
 def least_ids(contexts: list[bytes], ids: list[int], at: list[int] | None = None,
               length: int = LENGTH) -> list[list[int]]:
     """For every string of ``length`` bytes in every context, the smallest id of its equals.
 
     ``at`` is where each context holds one gram that all of them share and that lies
-    inside all their strings. It then counts as one symbol, together with what follows
-    it in all contexts alike, which shortens the text; equal strings stay neighbours.
+    inside all their strings. It then counts as one symbol, the joint, together with
+    what all contexts have alike on both sides of it, which shortens the text; equal
+    strings stay neighbours. Strings that start inside the joint are ordered by it.
     """
-    common = len(commonprefix([x[a + GRAM:] for x, a in zip(contexts, at, strict=True)])) \
-        if at is not None else 0
+    counts = [len(context) - length + 1 for context in contexts]
+    out = [[0] * n for n in counts]
     text: list[int] = []
-    owner, starts = [], []
+    place: dict[int, tuple[int, int]] = {}
+    joints: dict[int, int] = {}
+    before = 0
+    if at is not None:
+        before = alike([x[:a][::-1] for x, a in zip(contexts, at, strict=True)])
+        after = GRAM + alike([x[a + GRAM:] for x, a in zip(contexts, at, strict=True)])
     for c, context in enumerate(contexts):
-        n = len(context) - length + 1
-        starts += range(len(text), len(text) + n)
-        owner += [(c, j) for j in range(n)]
-        symbols = [b + 1 for b in context]
+        start = len(text)
+        free = len(context) if at is None else max(0, at[c] - before)
+        for j in range(min(counts[c], free)):
+            place[start + j] = c, j
+        text += context[:free]
         if at is not None:
-            symbols[at[c]:at[c] + GRAM + common] = [257]
-        text += symbols
-        text.append(0)
-    out = [[0] * (len(context) - length + 1) for context in contexts]
-    place = dict(zip(starts, owner, strict=True))
-    same: list[tuple[int, int]] = []
-    last = None
-
-    def close():
-        least = min([ids[c] for c, _ in same])
-        for c, j in same:
-            out[c][j] = least
-    for s in suffix_array(text):
-        found = place.get(s)
-        if found is not None:
-            c, j = found
+            joints[len(text)] = c
+            text.append(JOINT)
+            text += context[at[c] + after:]
+        text.append(END)
+
+    def group(neighbours):
+        last, same = None, []
+        for c, j in neighbours:
             string = contexts[c][j:j + length]
-            if string != last and same:
-                close()
-                same = []
-            last = string
-            same.append(found)
-    if same:
-        close()
+            if string != last:
+                close(same)
+                last, same = string, []
+            same.append((c, j))
+        close(same)
+
+    def close(same):
+        if same:
+            least = min([ids[c] for c, _ in same])
+            for c, j in same:
+                out[c][j] = least
+    order = suffix_array(text)
+    group([place[s] for s in order if s in place])
+    joined = [joints[s] for s in order if s in joints]
+    for back in range(before + 1 if joints else 0):
+        group([(c, at[c] - back) for c in joined if 0 <= at[c] - back < counts[c]])
     return out
 
 
