@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import groupby
 from os.path import commonprefix
 
@@ -45,6 +46,7 @@ from .common import LAST_ID, fixed, per_batch, release
 
 LENGTH, GRAM = 50, 20
 BUCKET = 2048
+BLOCK = 1 << 16
 BLOOM_BITS = 1 << 28
 HOT_ANCHORS = 100_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(29))
@@ -217,26 +219,56 @@ def sliding_min(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(out[:n], out[window - done:window - done + n])
 
 
-def contexts_of(raw: np.ndarray, length: int = LENGTH):
-    """(anchor hash, first string, last string) of each run of strings with one anchor,
-    and the hashes of all grams."""
-    if len(raw) < length:
+def blocks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """(index of the first, texts): whole texts of together about ``BLOCK`` bytes."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= BLOCK:
+            yield start, texts[start:i + 1]
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+@dataclass
+class Contexts:
+    """The runs of strings with one anchor: text, anchor hash, first and last string,
+    all positions in the block."""
+    text: np.ndarray
+    anchors: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    grams: np.ndarray
+    starts: np.ndarray
+
+    def offsets(self, some: np.ndarray, length: int) -> np.ndarray:
+        """Where each of ``some`` holds its anchor, from its own start."""
+        window = np.arange(length - GRAM + 1)
+        return (self.grams[self.first[some][:, None] + window]
+                == self.anchors[some][:, None]).argmax(axis=1)
+
+
+def contexts_of(texts: list[bytes], length: int = LENGTH) -> Contexts:
+    """The contexts of the texts of one block; none crosses texts."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    counts = np.maximum(sizes - length + 1, 0)
+    total = int(counts.sum())
+    if not total:
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, np.empty(0, np.uint64)
-    grams = gram_hashes(raw)
-    least = sliding_min(grams, length - GRAM + 1)
-    n = len(least)
+        return Contexts(none, np.empty(0, np.uint64), none, none, none, ends - sizes)
+    grams = gram_hashes(np.frombuffer(b"".join(texts), np.uint8))
+    before = np.cumsum(counts) - counts
+    at = np.arange(total) + np.repeat(ends - sizes - before, counts)
+    least = sliding_min(grams, length - GRAM + 1)[at]
     # a run ends where the smallest hash changes or where the anchor itself is left behind
-    new = np.r_[True, (least[1:] != least[:-1]) | (grams[:n - 1] == least[:-1])]
-    first = np.flatnonzero(new)
-    return least[first], first, np.r_[first[1:], n] - 1, grams
-
-
-def anchor_offsets(grams: np.ndarray, anchors: np.ndarray, first: np.ndarray,
-                   length: int = LENGTH) -> np.ndarray:
-    """Where each context holds its anchor, from its own start."""
-    window = np.arange(length - GRAM + 1)
-    return (grams[first[:, None] + window] == anchors[:, None]).argmax(axis=1)
+    new = np.r_[True, (least[1:] != least[:-1]) | (grams[at[:-1]] == least[:-1])]
+    new[before[counts > 0]] = True
+    run = np.flatnonzero(new)
+    first, last = at[run], at[np.r_[run[1:], total] - 1]
+    return Contexts(np.searchsorted(ends, first, "right"), least[run], first, last, grams,
+                    ends - sizes)
 
 
 def bloom_probes(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -251,8 +283,13 @@ def shared_anchors(texts: DataFrame, length: int) -> DataFrame:
 
     def make():
         def work(batch):
-            found = [np.unique(contexts_of(np.frombuffer(t, np.uint8), length)[0])
-                     for t in batch.column("bytes").to_pylist()]
+            found = []
+            for _, texts in blocks(batch.column("bytes").to_pylist()):
+                c = contexts_of(texts, length)
+                order = np.lexsort((c.text, c.anchors))
+                text, hashes = c.text[order], c.anchors[order]
+                again = (text[1:] == text[:-1]) & (hashes[1:] == hashes[:-1])
+                found.append(hashes[~np.r_[np.zeros(min(1, len(hashes)), bool), again]])
             hashes = np.sort(np.concatenate(found))
             third = np.r_[False, False, hashes[2:] == hashes[:-2]]
             hashes = hashes[~third[:len(hashes)]]
@@ -335,24 +372,23 @@ def passing_contexts(texts: DataFrame, bloom, length: int, contents: bool) -> Da
 
         def work(batch):
             out, held = [], 0
-            for raw, ident, key in zip(*(batch.column(c).to_pylist() for c in
-                                         ("bytes", "id", "text_key")), strict=True):
-                hashes, first, last, grams = contexts_of(np.frombuffer(raw, np.uint8), length)
-                some = passes(hashes)
+            ids, keys = (batch.column(c).to_numpy() for c in ("id", "text_key"))
+            for start, texts in blocks(batch.column("bytes").to_pylist()):
+                c = contexts_of(texts, length)
+                some = passes(c.anchors)
                 if not len(some):
                     continue
-                anchors, first, last = hashes[some], first[some], last[some]
-                signed = anchors.view(np.int64).tolist()
+                raw, first, last = b"".join(texts), c.first[some], c.last[some]
                 pieces = [raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist(),
                                                    strict=True)]
-                ids = np.full(len(some), ident)
+                signed, row = c.anchors[some].view(np.int64), start + c.text[some]
                 if contents:
-                    at = anchor_offsets(grams, anchors, first, length)
-                    out.append((np.array(signed), at.astype(np.int32), pieces, ids))
+                    out.append((signed, c.offsets(some, length).astype(np.int32), pieces,
+                                ids[row]))
                 else:
                     out.append(([content_digest(h, p) for h, p in
-                                 zip(signed, pieces, strict=True)], ids,
-                                np.full(len(some), key), first.astype(np.int32),
+                                 zip(signed.tolist(), pieces, strict=True)], ids[row],
+                                keys[row], (first - c.starts[c.text[some]]).astype(np.int32),
                                 (last - first + 1).astype(np.int32)))
                 held += sum(map(len, pieces))
                 if held > 1 << 23:
