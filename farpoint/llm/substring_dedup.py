@@ -326,25 +326,38 @@ def bloom_filter(shared: DataFrame) -> np.ndarray:
     page = 1 << 16
 
     def make():
-        filled = {}
-
         def work(batch):
-            for hashes in batch.column("hashes"):
-                for probe in bloom_probes(np.frombuffer(hashes.as_buffer(), np.uint64), bits):
-                    at = np.unique(probe)
-                    pages = at >> np.uint64(16)
-                    for p in np.unique(pages).tolist():
-                        mine = filled.setdefault(p, np.zeros(page, dtype=bool))
-                        mine[(at[pages == np.uint64(p)] & np.uint64(page - 1))] = True
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(filled), pa.int64()),
-                 pa.array([np.packbits(f).tobytes() for f in filled.values()], pa.binary())],
-                ["page", "bits"])
-            filled.clear()
+            hashes = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.uint64)
+            filled = {}
+            for probe in bloom_probes(hashes, bits):
+                at = np.unique(probe)
+                pages = (at >> np.uint64(16)).astype(np.int64)
+                cuts = np.flatnonzero(np.r_[True, pages[1:] != pages[:-1]]) if len(at) else []
+                for a, b in zip(cuts, [*cuts[1:], len(at)], strict=False):
+                    mine = filled.setdefault(int(pages[a]), np.zeros(page, dtype=bool))
+                    mine[at[a:b] & np.uint64(page - 1)] = True
+            yield pages_of({p: np.packbits(f) for p, f in filled.items()})
         return work
+
+    def pages_of(filled):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(filled), pa.int64()),
+             pa.array([f.tobytes() for f in filled.values()], pa.binary())], ["page", "bits"])
+
+    def unite(batches):
+        filled = {}
+        for batch in batches:
+            for p, found in zip(batch.column("page").to_pylist(),
+                                batch.column("bits").to_pylist(), strict=True):
+                if p not in filled:
+                    filled[p] = np.zeros(page // 8, dtype=np.uint8)
+                filled[p] |= np.frombuffer(found, np.uint8)
+        yield pages_of(filled)
     out = np.zeros((bits >> 16, page // 8), dtype=np.uint8)
-    for row in per_batch(shared, "page long, bits binary", make).toLocalIterator():
-        out[row["page"]] |= np.frombuffer(row["bits"], np.uint8)
+    # the pages are united in tasks, so at most ``bits`` bits reach the driver
+    for row in (per_batch(shared, "page long, bits binary", make).repartition("page")
+                .mapInArrow(unite, "page long, bits binary").collect()):
+        out[row["page"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
@@ -429,12 +442,30 @@ def decided(contents: DataFrame, length: int, bucket: int) -> DataFrame:
              .repartition("anchor").sortWithinPartitions("anchor"))
 
     def decide(batches):
-        def rows():
-            for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in
-                                 ("anchor", "at", "bytes", "least", "most")), strict=True)
+        names, held = ("anchor", "at", "bytes", "least", "most"), None
+        for batch in batches:
+            found = pa.Table.from_batches([batch])
+            if held is not None:
+                found = pa.concat_tables([held, found])
+            anchors = found.column("anchor").to_numpy()
+            # the last bucket may go on in the next batch
+            ready = int(np.searchsorted(anchors, anchors[-1])) if len(anchors) else 0
+            held = found.slice(ready)
+            if ready:
+                yield from buckets_of(found.slice(0, ready), names)
+        if held is not None and held.num_rows:
+            yield from buckets_of(held, names)
+
+    def buckets_of(found, names):
+        anchors = found.column("anchor").to_numpy()
+        new = np.r_[True, anchors[1:] != anchors[:-1], True]
+        lost = found.column("least").to_numpy() < found.column("most").to_numpy()
+        # a content alone in its bucket matters only if a later document holds it too
+        wanted = ~(new[:-1] & new[1:]) | lost
         out = []
-        for anchor, same in groupby(rows(), key=lambda r: r[0]):
+        columns = found.filter(pa.array(wanted)).select(names).columns
+        for anchor, same in groupby(zip(*(c.to_pylist() for c in columns), strict=True),
+                                    key=lambda r: r[0]):
             grams: dict[bytes, list] = {}  # one, but for grams of equal hash
             for row in same:
                 grams.setdefault(row[2][row[1]:row[1] + GRAM], []).append(row)
@@ -526,15 +557,13 @@ def byte_texts(docs: DataFrame) -> DataFrame:
                        F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("bytes"))
 
 
-def cut(raw: bytes, runs) -> tuple[bytes, int]:
+def cut(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int]:
     """What is left of ``raw`` without the runs, and the number of maximal removed runs."""
-    if not runs:
+    if not len(starts):
         return raw, 0
-    gone = np.zeros(len(raw) + 1, dtype=np.int32)
-    for run in runs:
-        gone[run["start"]] += 1
-        gone[run["end"]] -= 1
-    off = np.cumsum(gone)[:-1] > 0
+    size = len(raw) + 1
+    off = np.cumsum(np.bincount(starts, minlength=size) - np.bincount(ends, minlength=size))
+    off = off[:-1] > 0
     spans = int(np.count_nonzero(off[1:] & ~off[:-1]) + off[0])
     return np.frombuffer(raw, np.uint8)[~off].tobytes(), spans
 
@@ -548,9 +577,13 @@ def substring_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def make():
         def work(batch):
             rows = []
-            for ident, raw, runs in zip(*(batch.column(c).to_pylist() for c in
-                                          ("id", "bytes", "runs")), strict=True):
-                left, spans = cut(raw, runs)
+            runs = batch.column("runs")
+            upto = np.cumsum(pc.fill_null(pc.list_value_length(runs), 0).to_numpy())
+            starts, ends = (runs.flatten().field(k).to_numpy() for k in (0, 1))
+            for ident, raw, b, n in zip(batch.column("id").to_pylist(),
+                                        batch.column("bytes").to_pylist(), upto.tolist(),
+                                        np.diff(upto, prepend=0).tolist(), strict=True):
+                left, spans = cut(raw, starts[b - n:b], ends[b - n:b])
                 rows.append((None if ident == LAST_ID else ident, len(raw),
                              len(raw) - len(left), spans, hashlib.sha256(left).hexdigest()))
             names = [c.split()[0] for c in REPORT.split(", ")]
