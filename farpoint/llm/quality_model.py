@@ -94,11 +94,17 @@ def fit_votes(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, floa
     return dict(zip(patterns, good.tolist(), strict=True)), rates
 
 
+KINDS = {ord(c): "U" if c.isupper() else "l" if c.isalpha() else "0" if c.isdigit() else c
+         for c in map(chr, range(128))}
+REPEATED_KIND = re.compile(r"(.)\1+")
+
+
 def shape(word: str) -> str:
     """The word's pattern: runs of upper, lower, digit and other characters."""
-    kinds = "".join(["U" if c.isupper() else "l" if c.isalpha() else "0" if c.isdigit() else c
-                     for c in word])
-    return re.sub(r"(.)\1+", r"\1+", kinds)
+    kinds = word.translate(KINDS) if word.isascii() else "".join(
+        ["U" if c.isupper() else "l" if c.isalpha() else "0" if c.isdigit() else c
+         for c in word])
+    return REPEATED_KIND.sub(r"\1+", kinds)
 
 
 def buckets(word: str) -> tuple[int, int]:
@@ -109,21 +115,22 @@ def buckets(word: str) -> tuple[int, int]:
 
 def features(words: list[str], seen: dict) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers and values: log counts over the document, scaled to length one."""
-    total: Counter = Counter()
-    for word, times in Counter(words).items():
-        found = seen.get(word)
-        if found is None:
-            if len(seen) > 200_000:
-                seen.clear()
-            found = buckets(word)
-            if len(word) <= 64:
-                seen[word] = found
-        total[found[0]] += times
-        total[found[1]] += times
-    if not total:
+    found = []
+    times = Counter(words)
+    if len(seen) > 200_000:
+        seen.clear()
+    for word in times:
+        pair = seen.get(word)
+        if pair is None:
+            pair = buckets(word)
+            if len(word) <= 64 and len(seen) <= 200_000:
+                seen[word] = pair
+        found += pair
+    if not found:
         return np.empty(0, np.int32), np.empty(0)
-    at = np.fromiter(sorted(total), np.int32, len(total))
-    value = np.log1p(np.array([total[i] for i in at.tolist()], dtype=float))
+    at, where = np.unique(np.array(found, np.int32), return_inverse=True)
+    total = np.bincount(where, np.repeat(np.fromiter(times.values(), float, len(times)), 2))
+    value = np.log1p(total)
     return at, value / math.sqrt(float(value @ value))
 
 
