@@ -362,6 +362,50 @@ def q_train_detect_bisecting(spark, sf_dir):
     return _train_detect(spark, sf_dir, "bisectingKMeans")
 
 
+# --- end to end through the job, on well-separated groups (SQL check) -----------
+
+def _job_tables(spark, sf_dir):
+    """Train and score rows (id, x, seg) from customer: five groups 1,000 apart. The
+    score rows have other label frequencies, and every 150th lies 250 off its group."""
+    key = F.col("c_custkey")
+    x = F.col("c_nationkey") % 5 * 1000 + key % 40
+    third = key % 3 == 0
+    customer = table(spark, sf_dir, "customer")
+    train_rows = customer.select(key.alias("id"), x.cast("long").alias("x"),
+                                 F.when(third, "a").otherwise("b").alias("seg"))
+    off = F.when(key % 150 == 0, 250).otherwise(0)
+    score_rows = customer.select(key.alias("id"), (x + off).cast("long").alias("x"),
+                                 F.when(third, "b").otherwise("a").alias("seg"))
+    return train_rows, score_rows
+
+
+def _job(spark, sf_dir, algorithm):
+    from .job import JobConfig, run_job
+    train_rows, score_rows = _job_tables(spark, sf_dir)
+    out = scratch_path(spark, "job-alerts")
+    res = run_job(spark, JobConfig(
+        features=["x", "seg"], train_path=staged(train_rows, "csv"),
+        score_path=staged(score_rows, "csv"), schema="id long, x long, seg string",
+        algorithm=algorithm, output_path=out))
+    written = spark.read.text(out).select(
+        F.regexp_extract("value", r": \[(\d+),", 1).cast("long").alias("line_id"))
+    flagged = res.detection.flagged
+    return written.join(flagged, written["line_id"] == flagged["id"]).select(
+        "id", "x", "seg", F.round("distance", 3).alias("distance"),
+        F.lit(res.model.k).alias("k"))
+
+
+def q_job_kmeans(spark, sf_dir):
+    """``run_job`` over CSV tables (search k, k-means, refit, 4 sigma);
+    the alert lines are read back and joined with the flagged rows."""
+    return _job(spark, sf_dir, "kMeans")
+
+
+def q_job_bisecting(spark, sf_dir):
+    """The same job with bisecting k-means and the 3-sigma rule."""
+    return _job(spark, sf_dir, "bisectingKMeans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "json_scan": q_json_scan,
@@ -398,4 +442,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k_search_bisecting": q_k_search_bisecting,
     "train_detect_kmeans": q_train_detect_kmeans,
     "train_detect_bisecting": q_train_detect_bisecting,
+    "job_kmeans": q_job_kmeans,
+    "job_bisecting": q_job_bisecting,
 }

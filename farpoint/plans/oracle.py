@@ -112,6 +112,33 @@ def _events_silhouette() -> str:
             "FROM p CROSS JOIN cs)," + _SILHOUETTE_TAIL)
 
 
+def _job(sigma: int) -> str:
+    """Train, refit, detect on the five customer groups: centres are the group means."""
+    def indexed(rows: str, by: str) -> str:
+        return (f"SELECT r.id, r.g, r.x, r.seg, l.i FROM {rows} r JOIN (SELECT seg, "
+                "row_number() OVER (ORDER BY count(*) DESC, seg) - 1 AS i "
+                f"FROM {by} GROUP BY seg) l ON r.seg = l.seg")
+    return f"""
+WITH tr AS (SELECT c_custkey AS id, c_nationkey % 5 AS g,
+                   c_nationkey % 5 * 1000 + c_custkey % 40 AS x,
+                   CASE WHEN c_custkey % 3 = 0 THEN 'a' ELSE 'b' END AS seg FROM customer),
+sc AS (SELECT id, g, x + CASE WHEN id % 150 = 0 THEN 250 ELSE 0 END AS x,
+              CASE WHEN seg = 'a' THEN 'b' ELSE 'a' END AS seg FROM tr),
+tri AS ({indexed("tr", "tr")}),
+sci AS ({indexed("sc", "sc")}),
+sdt AS (SELECT stddev_samp(x) AS sx, stddev_samp(i) AS si FROM tri),
+sds AS (SELECT stddev_samp(x) AS sx, stddev_samp(i) AS si FROM sci),
+cen AS (SELECT g, avg(x) AS x, avg(i) AS i FROM tri GROUP BY g),
+dist AS (SELECT s.id, s.x, s.seg, min(
+           2 * (s.x - c.x) * (s.x - c.x) + 2 * (s.i - c.i) * (s.i - c.i)
+           + pow(s.x / sds.sx - c.x / sdt.sx, 2) + pow(s.i / sds.si - c.i / sdt.si, 2)) AS d
+         FROM sci s CROSS JOIN cen c CROSS JOIN sdt CROSS JOIN sds GROUP BY s.id, s.x, s.seg),
+st AS (SELECT avg(d) AS mu, stddev_samp(d) AS sdv FROM dist)
+SELECT CAST(id AS BIGINT) AS id, CAST(x AS BIGINT) AS x, seg, round(d, 3) AS distance,
+       (SELECT CAST(count(*) AS INTEGER) FROM cen) AS k
+FROM dist CROSS JOIN st WHERE d > mu + {sigma} * sdv"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "csv_scan": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, "
                 "c_mktsegment FROM customer",
@@ -213,4 +240,6 @@ per AS (SELECT pair.id, pair.cl, pair.ocl, avg(d2) AS md, max(sizes.own) AS own
     "bisecting_fit": "SELECT n_nationkey, n_regionkey AS cluster FROM nation",
     "k_search_kmeans": "SELECT CAST(count(DISTINCT n_regionkey) AS INTEGER) AS k FROM nation",
     "k_search_bisecting": "SELECT CAST(count(DISTINCT n_regionkey) AS INTEGER) AS k FROM nation",
+    "job_kmeans": _job(4),
+    "job_bisecting": _job(3),
 }
