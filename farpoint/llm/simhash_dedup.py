@@ -218,7 +218,11 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, choose: int | None = None
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE,
                        radius: int = RADIUS) -> DataFrame:
-    """doc_id, text_key, bits and component_id of every document."""
+    """doc_id, text_key, bits, component and component_id of every document.
+
+    component is the component itself (its smallest fingerprint); component_id is its
+    smallest doc_id, which is null, or another's too, where ids are null or repeat.
+    """
     marked = fixed(fingerprints(docs, shingle))
     order = F.coalesce("doc_id", F.lit(LAST_ID))
     nodes = fixed(marked.groupBy("bits").agg(F.min(order).alias("least_id")))
@@ -226,9 +230,9 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE,
     nodes = nodes.join(joined.withColumnRenamed("node", "bits"), "bits", "left").select(
         "bits", F.coalesce("component", "bits").alias("component"), "least_id")
     least = nodes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = fixed(nodes.join(least, "component").select("bits", "component_id"))
+    named = fixed(nodes.join(least, "component").select("bits", "component", "component_id"))
     return marked.join(named, "bits").select(
-        "doc_id", "text_key", "bits",
+        "doc_id", "text_key", "bits", "component",
         F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
 
 
@@ -246,7 +250,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """
     found = simhash_components(docs, shingle, radius)
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text_key"))
-    kept = (found.groupBy("component_id")
+    kept = (found.groupBy("component")
             .agg(first.alias("first")).select("first.id", "first.text_key"))
     rows = with_row(docs, F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("id"),
                     F.xxhash64("text").alias("text_key"))

@@ -373,3 +373,15 @@ def test_quality_classifier_on_held_out_labels(spark):
     good = [k for q, k in labels if q]
     bad = [k for q, k in labels if not q]
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_keep_one_keeps_every_component_whatever_its_ids(spark):
+    texts = some_texts(seed=11, n=8)[:8]
+    bits = [brute_fingerprint(t) for t in texts]
+    assert all((a ^ b).bit_count() > 4 for i, a in enumerate(bits) for b in bits[:i])
+    for ids in ([None] * 8, [7] * 8, [None, None, 7, 7, 1, None, 7, 2]):
+        df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+        # the copies link with their own text only
+        got = [tuple(r) for r in simhash_dedup.keep_one(df.union(df.filter("doc_id = 7"))).collect()]
+        want = [(d, t) for d, t in zip(ids, texts, strict=True) for _ in range(1 + (d == 7))]
+        assert sorted(map(str, got)) == sorted(map(str, want))
