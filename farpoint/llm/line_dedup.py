@@ -11,13 +11,18 @@ deleted; overlapping windows make up the whole repeated run. So a line goes if
 and only if it lies in a run of ``window`` lines that also starts earlier, in
 an earlier document or higher up in the same one.
 
+With ``long_words``, every line of at least that many words is a run of its own as
+well: it goes wherever it stands earlier, also between differing lines or as the only
+line of its document. Without it (the rule of op6's SQL) such a line stays.
+
 Equal keys are counted before they are shuffled and no pair of occurrences is
 ever listed, so a line or run that a third of all documents share costs one row
 for each place where it stands. Lines are compared by two 64-bit hashes.
 
 Null texts are empty. Lines without a word are never compared and stay. Null ids
 come last. Rows that repeat a doc_id and text are one document: they get the
-same result. Documents shorter than the window stay whole; empty tables give no rows.
+same result. Documents shorter than the window stay whole, but for their long lines;
+empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,9 +35,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, SPACES, fixed, per_batch, texts_of, with_row
+from .common import LAST_ID, SPACES, WORD, fixed, per_batch, texts_of, with_row
 
 WINDOW = 2
+LONG_WORDS = 50
 
 
 def line_hashes(text: str) -> np.ndarray:
@@ -52,44 +58,62 @@ def selected_starts(first: np.ndarray, window: int) -> np.ndarray:
     return np.arange(len(spans)) + window - 1 - spans[:, ::-1].argmin(axis=1)
 
 
-WINDOWS = "id long, text_key long, start int, fingerprint long, content binary"
+def long_lines(text: str, words: int) -> np.ndarray:
+    """Positions, among the lines that hold a word, of those with at least ``words``."""
+    counts = [len(WORD.findall(line)) for line in text.split("\n")]
+    return np.flatnonzero(np.array([n for n in counts if n], dtype=np.int64) >= words)
+
+
+WINDOWS = "id long, text_key long, start int, lines int, fingerprint long, content binary"
+
 
+def windows(docs: DataFrame, window: int, long_words: int | None = None) -> DataFrame:
+    """One row per window: its document, start, length, selected fingerprint and content hash.
 
-def windows(docs: DataFrame, window: int) -> DataFrame:
-    """One row per window: its document, start, selected fingerprint and content hash."""
+    A long line is a window of one line; its fingerprint is its other hash, so that it
+    meets long lines only.
+    """
     def make():
         import xxhash
 
         def work(batch):
             ids, keys = batch.column("id").to_numpy(), batch.column("text_key").to_numpy()
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for i, text in enumerate(texts_of(batch)):
                 hashes = line_hashes(text)
                 place = selected_starts(hashes[:, 0], window)
-                n = len(place)
-                if not n:
+                alone = long_lines(text, long_words) if long_words and window > 1 else place[:0]
+                n, m = len(place), len(alone)
+                if not n + m:
                     continue
                 raw = hashes.tobytes()
-                out[0].append(np.full(n, ids[i]))
-                out[1].append(np.full(n, keys[i]))
-                out[2].append(np.arange(n, dtype=np.int32))
-                out[3].append(hashes[place, 0])
-                out[4] += [xxhash.xxh3_128_digest(raw[16 * s:16 * (s + window)])
+                out[0].append(np.full(n + m, ids[i]))
+                out[1].append(np.full(n + m, keys[i]))
+                out[2].append(np.r_[np.arange(n), alone].astype(np.int32))
+                out[3].append(np.repeat(np.array([window, 1], np.int32), [n, m]))
+                out[4].append(np.r_[hashes[place, 0], hashes[alone, 1]])
+                out[5] += [xxhash.xxh3_128_digest(raw[16 * s:16 * (s + window)])
                            for s in range(n)]
-            if out[4]:
+                out[5] += [xxhash.xxh3_128_digest(raw[16 * s:16 * (s + 1)])
+                           for s in alone.tolist()]
+            if out[5]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in out[:4]]
-                    + [pa.array(out[4], pa.binary())],
-                    ["id", "text_key", "start", "fingerprint", "content"])
+                    [pa.array(np.concatenate(c)) for c in out[:5]]
+                    + [pa.array(out[5], pa.binary())],
+                    ["id", "text_key", "start", "lines", "fingerprint", "content"])
         return work
     return per_batch(docs, WINDOWS, make)
 
 
-def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, text_key, starts): the starts of every document's later repeated windows."""
+def repeated_starts(docs: DataFrame, window: int = WINDOW,
+                    long_words: int | None = None) -> DataFrame:
+    """(id, text_key, starts): the starts of every document's later repeated windows.
+
+    A long line at position p that is repeated alone is listed as -1 - p.
+    """
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"),
                         F.xxhash64("text").alias("text_key"), "text")
-    seen = fixed(windows(keyed, window))
+    seen = fixed(windows(keyed, window, long_words))
     # positions where equal fingerprints were selected more than once
     shared = (seen.groupBy("fingerprint").agg(F.count("*").alias("n"))
               .filter("n > 1").select("fingerprint"))
@@ -105,7 +129,8 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                         & (F.col("start") > F.col("first.start")))
                      | ((F.col("id") == F.col("first.id"))
                         & (F.col("text_key") > F.col("first.text_key")))))
-    return again.groupBy("id", "text_key").agg(F.collect_set("start").alias("starts"))
+    start = F.when(F.col("lines") < window, -1 - F.col("start")).otherwise(F.col("start"))
+    return again.groupBy("id", "text_key").agg(F.collect_set(start).alias("starts"))
 
 
 def without_runs(text: str, starts, window: int) -> tuple[str, int, int, int]:
@@ -114,21 +139,25 @@ def without_runs(text: str, starts, window: int) -> tuple[str, int, int, int]:
     worded = [i for i, line in enumerate(lines) if line.strip(SPACES)]
     gone = np.zeros(len(worded) + 1, dtype=bool)
     for s in starts if starts is not None else ():
-        gone[s:s + window] = True
+        if s < 0:
+            gone[-1 - s] = True
+        else:
+            gone[s:s + window] = True
     runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
     drop = {worded[i] for i in np.flatnonzero(gone)}
     kept = "\n".join([line for i, line in enumerate(lines) if i not in drop]) if drop else text
     return kept, len(worded), len(drop), runs
 
 
-def _with_starts(docs: DataFrame, window: int) -> DataFrame:
-    found = repeated_starts(docs, window)
+def _with_starts(docs: DataFrame, window: int, long_words: int | None) -> DataFrame:
+    found = repeated_starts(docs, window, long_words)
     rows = with_row(docs, F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("id"),
                     F.xxhash64("text").alias("text_key"))
     return rows.join(found, ["id", "text_key"], "left").select("row", "starts")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW,
+                long_words: int | None = None) -> DataFrame:
     """All documents and columns; ``text`` without its later repeated runs.
 
     ``n_chars``, where the input has it, becomes the new length of a changed text.
@@ -152,13 +181,14 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
         return work
     names = docs.columns
-    return per_batch(_with_starts(docs, window), docs.schema, make)
+    return per_batch(_with_starts(docs, window, long_words), docs.schema, make)
 
 
 REPORT = "doc_id long, n_lines long, n_removed long, n_runs long, kept_sha256 string"
 
 
-def line_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def line_report(docs: DataFrame, window: int = WINDOW,
+                long_words: int | None = None) -> DataFrame:
     """Per document: lines with a word, lines and runs removed, digest of what is left."""
     def make():
         def work(batch):
@@ -171,4 +201,5 @@ def line_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 + [pa.array([hashlib.sha256(f[0].encode()).hexdigest() for f in found])],
                 ["doc_id", "n_lines", "n_removed", "n_runs", "kept_sha256"])
         return work
-    return per_batch(_with_starts(docs.select("doc_id", "text"), window), REPORT, make)
+    return per_batch(_with_starts(docs.select("doc_id", "text"), window, long_words),
+                     REPORT, make)

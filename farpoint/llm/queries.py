@@ -10,7 +10,7 @@ from .bpe import encode_digest
 from .chat import perspectives
 from .common import table
 from .exact_dedup import exact_dedup
-from .line_dedup import line_report
+from .line_dedup import LONG_WORDS, line_report
 from .mixing import mix_report
 from .packing import write_packed
 from .quality_model import classify
@@ -129,6 +129,45 @@ GROUP BY l.doc_id
 """
 
 
+@query
+def op6_line_dedup_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6_line_dedup where every long line is a run of its own as well."""
+    return line_report(table(spark, sf_dir, "documents"), long_words=LONG_WORDS)
+
+
+ORACLE_SQL["op6_line_dedup_long_lines"] = """
+WITH line AS (
+  SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+  FROM (SELECT doc_id, text,
+               unnest(range(1, 1 + len(string_split(coalesce(text, ''), chr(10))))) AS i
+        FROM documents)),
+worded AS (
+  SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
+  FROM line WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+pair AS (
+  SELECT doc_id, i, pos, t, lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS t2 FROM worded),
+marked AS (
+  SELECT doc_id, i, pos, t2 IS NOT NULL AND row_number() OVER (
+    PARTITION BY t, t2 ORDER BY doc_id, pos) > 1 AS again,
+    len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) >= 50 AND row_number() OVER (
+    PARTITION BY t ORDER BY doc_id, pos) > 1 AS alone FROM pair),
+gone AS (
+  SELECT doc_id, i, pos, alone
+         OR again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone
+  FROM marked),
+runs AS (
+  SELECT doc_id, i, gone, gone AND NOT coalesce(
+    lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM gone)
+SELECT l.doc_id, count(r.i) AS n_lines, count(*) FILTER (r.gone) AS n_removed,
+       count(*) FILTER (r.starts) AS n_runs,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i)
+                       FILTER (NOT coalesce(r.gone, false)), '')) AS kept_sha256
+FROM line l LEFT JOIN runs r ON l.doc_id = r.doc_id AND l.i = r.i
+GROUP BY l.doc_id
+"""
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""

@@ -385,3 +385,29 @@ def test_keep_one_keeps_every_component_whatever_its_ids(spark):
         got = [tuple(r) for r in simhash_dedup.keep_one(df.union(df.filter("doc_id = 7"))).collect()]
         want = [(d, t) for d, t in zip(ids, texts, strict=True) for _ in range(1 + (d == 7))]
         assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_line_dedup_of_long_lines_that_stand_alone(spark):
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
+    texts = [f"a\n{long}\nb\n{short}\nc", f"d\n {long}\t\n\ne", long, f"{short}\nf\n{long}\ng\n{long}",
+             short, f"{long}\nx\n{long}\ny", None, long + " more"]
+    df = spark.createDataFrame([(i if i != 7 else None, t) for i, t in enumerate(texts)],
+                               "doc_id long, text string").repartition(3)
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        lines = (t or "").split("\n")
+        left = []
+        for line in lines:
+            key = line.strip()
+            if key not in seen or len(key.split()) < 50:
+                left.append(line)
+            seen.add(key)
+        want[i if i != 7 else None] = (t and "\n".join(left))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, 2, 50).collect()}
+    pairs = brute_lines([(i if i != 7 else None, t) for i, t in enumerate(texts)], 2)
+    assert got == want and not any(w[0][2] for w in pairs.values())
+    report = by_id(line_dedup.line_report(df, 2, 50))
+    assert report[2]["n_removed"] == report[2]["n_lines"] == 1
+    assert report[3]["n_removed"] == report[3]["n_runs"] == 2
+    assert {d: tuple(r) for d, r in by_id(line_dedup.line_report(df, 2)).items()} == \
+        {d: w[0] for d, w in pairs.items()}
