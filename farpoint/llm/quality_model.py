@@ -8,8 +8,10 @@ and the share of good ones. A pattern's posterior is its documents' weak label.
 
 The posteriors train a hashed linear scorer: logistic regression on word and
 word-shape counts hashed into ``2**HASH_BITS`` weights, fitted by MLlib on a
-sample of at most about ``SAMPLE_ROWS`` documents, drawn by a hash of their ids
-(the documented bound). The scorer, not the vote, gives every document's verdict.
+sample of at most about ``SAMPLE_ROWS`` documents, drawn by a 64-bit hash of id and text
+(the documented bound). Rows equal in both are one document of the sample, weighted by
+their number; a draw of under half the documents is widened, so repeated rows never
+leave it empty. The scorer, not the vote, gives every document's verdict.
 
 Null and blank texts have no words, get only the votes of the length rule and a
 score from the intercept. Documents are scored one by one, so ties and repeated
@@ -37,6 +39,8 @@ HASH_BITS = 16
 SAMPLE_ROWS = 10_000
 GOOD, BAD, NONE = 1, 0, 2
 KEEP_FROM = 0.4
+# A draw that is too small is made so many times wider at most.
+WIDEN = 16
 
 
 def vote(value: float, good_upto: float, bad_from: float) -> int:
@@ -134,28 +138,45 @@ def features(words: list[str], seen: dict) -> tuple[np.ndarray, np.ndarray]:
     return at, value / math.sqrt(float(value @ value))
 
 
-def train(sample: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Weights and intercept from (text, posterior); None if one class is missing."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import Vectors, VectorUDT
+def drawn(texts: DataFrame, share: float) -> DataFrame:
+    """(text, place): the rows whose 64-bit hash of id and text is in the lowest ``share``."""
+    place = F.xxhash64("doc_id", "text", F.lit(17)).alias("place")
+    upto = min(int(share * 2 ** 64) - 2 ** 63, 2 ** 63 - 1)
+    return texts.select("text", place).filter(F.col("place") <= F.lit(upto).cast("long"))
+
 
+def featured(sample: DataFrame) -> DataFrame:
+    """(posterior, at, value, n): the features of every distinct document, and its rows."""
     def make():
         seen = {}
 
         def work(batch):
             found = [features(Signals(t).words, seen) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("posterior"), pa.array([f[0] for f in found], pa.list_(pa.int32())),
+                [batch.column("place"), batch.column("posterior"),
+                 pa.array([f[0] for f in found], pa.list_(pa.int32())),
                  pa.array([f[1] for f in found], pa.list_(pa.float64()))],
-                ["posterior", "at", "value"])
+                ["place", "posterior", "at", "value"])
         return work
+    rows = per_batch(sample, "place long, posterior double, at array<int>, value array<double>",
+                     make)
+    return fixed(rows.groupBy("place").agg(
+        F.first(F.struct("posterior", "at", "value")).alias("row"), F.count("*").alias("n"))
+        .select("row.*", "n"))
+
+
+def train(rows: DataFrame) -> tuple[np.ndarray, float] | None:
+    """Weights and intercept from ``featured`` rows; None if one class is missing."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
     size = 1 << HASH_BITS
     vector = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT())
-    rows = fixed(per_batch(sample, "posterior double, at array<int>, value array<double>", make))
     both = rows.select(vector("at", "value").alias("features"), F.explode(F.array(
         F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("weight")))).alias("l")
-    ).select("features", "l.label", "l.weight").filter("weight > 0.001").cache()
+        F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("weight")))).alias("l"),
+        "n").filter("l.weight > 0.001").select(
+            "features", "l.label", (F.col("l.weight") * F.col("n")).alias("weight")).cache()
     try:
         if both.select("label").distinct().count() < 2:
             return None
@@ -185,16 +206,22 @@ def classify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
         return spark.createDataFrame([], SCORED)
     posterior, _ = fit_votes(counted)
     share = min(1.0, sample_rows / sum(counted.values()))
-    drawn = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20))
-                         < int(share * (1 << 20)))
-
     def labelling():
         def work(batch):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("text"), pa.array([posterior[votes(t)] for t in texts_of(batch)])],
-                ["text", "posterior"])
+                [batch.column("text"), batch.column("place"),
+                 pa.array([posterior[votes(t)] for t in texts_of(batch)])],
+                ["text", "place", "posterior"])
         return work
-    model = train(per_batch(drawn, "text string, posterior double", labelling))
+
+    def sample():
+        return featured(per_batch(drawn(texts, share),
+                                  "text string, place long, posterior double", labelling))
+    rows = sample()
+    while share < 1 and (n := rows.count()) < sample_rows / 2:
+        share = min(1.0, share * min(WIDEN, sample_rows / max(n, 1)))
+        rows = sample()
+    model = train(rows)
     shared = spark.sparkContext.broadcast(model)
 
     def scoring():

@@ -411,3 +411,24 @@ def test_line_dedup_of_long_lines_that_stand_alone(spark):
     assert report[3]["n_removed"] == report[3]["n_runs"] == 2
     assert {d: tuple(r) for d, r in by_id(line_dedup.line_report(df, 2)).items()} == \
         {d: w[0] for d, w in pairs.items()}
+
+
+def test_classifier_draws_by_id_and_text_and_never_nothing(spark):
+    texts = spark.range(20000).selectExpr("cast(null as long) AS doc_id",
+                                          "concat('t', id) AS text").cache()
+    for share in (0.5, 0.01, 1.0):
+        n = quality_model.drawn(texts, share).count()
+        assert abs(n - 20000 * share) <= 5 * (20000 * share * (1 - share)) ** .5
+    # a share far below 2 ** -20 still draws from the hash's whole range
+    bound = int(2.0 ** -30 * 2 ** 64) - 2 ** 63
+    plan = quality_model.drawn(texts, 2.0 ** -30)._jdf.queryExecution().toString()
+    assert str(bound) in plan and bound > -2 ** 63
+    rnd = random.Random(3)
+    words = "the of and to in is was that for with as his they be at one have this from".split()
+    good = [(None, " ".join(rnd.choices(words, k=60))) for _ in range(30)]
+    bad = [(None, "## $$ %% " * 20 + str(i)) for i in range(30)]
+    df = spark.createDataFrame((good + bad) * 40, "doc_id long, text string")
+    # 60 documents in 2400 rows: the first draw holds about a half of one
+    scores = {r["score"] for r in quality_model.classify(df, sample_rows=20).collect()}
+    patterns = {quality_model.votes(t) for _, t in good + bad}
+    assert len(scores) > len(patterns) + 10
