@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import encode_digest
-from .chat import perspectives
+from .chat import dialogues, perspectives
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import LONG_WORDS, line_report
@@ -65,6 +65,51 @@ FROM placed GROUP BY conv_id, block, part, perspective
 """
 
 
+@query
+def op2_chat_format_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2_chat_format cut by position, with the system turns and the place in the whole."""
+    return dialogues(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op2_chat_format_by_position"] = """
+WITH numbered AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, 9223372036854775807),
+                            coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS n
+  FROM conversations),
+shown AS (
+  SELECT *, n // 256 AS segment, false AS framed FROM numbered
+  UNION ALL
+  SELECT f.*, s.segment, true FROM numbered f
+  JOIN (SELECT DISTINCT conv_id, n // 256 AS segment FROM numbered WHERE n >= 256) s
+    ON f.conv_id IS NOT DISTINCT FROM s.conv_id
+  WHERE f.n < 256 AND f.role = 'system'),
+view AS (
+  SELECT s.*, p.role AS perspective, s.role = p.role AS own,
+         CASE WHEN s.role = p.role THEN '<|assistant|>' WHEN s.role = 'system' THEN '<|system|>'
+              ELSE '<|user:' || s.role || '|>' END || chr(10) AS head
+  FROM shown s JOIN (SELECT DISTINCT conv_id, role FROM numbered WHERE role <> 'system') p
+    ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, length(head) + length(text) + 8 AS chars,
+         CAST(sum(length(head) + length(text) + 8) OVER (
+           PARTITION BY conv_id, segment, perspective ORDER BY n) AS BIGINT) AS upto FROM view),
+piece AS (
+  SELECT conv_id, segment, perspective, min(n) FILTER (NOT framed) AS first_turn,
+         CAST(sum(chars) FILTER (NOT framed) AS BIGINT) AS size,
+         CAST(coalesce(sum(chars) FILTER (framed), 0) AS BIGINT) AS frame_chars,
+         string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY n) AS rendered,
+         coalesce(string_agg((upto - length(text) - 8) || '-' || upto, ',' ORDER BY n)
+                  FILTER (own), '') AS mask,
+         count(*) FILTER (NOT framed) AS n_turns, count(*) FILTER (own) AS n_own
+  FROM placed GROUP BY conv_id, segment, perspective)
+SELECT conv_id, segment, perspective, first_turn,
+       CAST(sum(size) OVER (PARTITION BY conv_id, perspective ORDER BY segment) AS BIGINT) - size
+         AS "offset", frame_chars, rendered, mask, n_turns, n_own
+FROM piece
+"""
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents by a tree merge of digest runs."""

@@ -432,3 +432,36 @@ def test_classifier_draws_by_id_and_text_and_never_nothing(spark):
     scores = {r["score"] for r in quality_model.classify(df, sample_rows=20).collect()}
     patterns = {quality_model.votes(t) for _, t in good + bad}
     assert len(scores) > len(patterns) + 10
+
+
+def test_dialogues_give_back_the_whole(spark):
+    rnd = random.Random(8)
+    # dense, across a multiple, sparse, repeated and null numbers
+    numbers = {1: range(45), 2: range(8, 15), 3: range(0, 30000, 1000), 4: [3] * 23,
+               None: [*range(11), None]}
+    turns = [(c, t, "system" if i in (0, 4, 20) else rnd.choice(["ann", "bob", "Zoë", None]),
+              "é" * rnd.randint(0, 9) or None)
+             for c, ts in numbers.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat.dialogues(df.repartition(5), 10).collect():
+        got.setdefault((r["conv_id"], r["perspective"]), []).append(r)
+    order = lambda r: (2**63 if r[1] is None else r[1], r[2] or "unknown", r[3] or "")
+    for c in numbers:
+        mine = sorted((r for r in turns if r[0] == c), key=order)
+        roles, texts = [r[2] or "unknown" for r in mine], [r[3] or "" for r in mine]
+        frame = [i for i in range(min(10, len(mine))) if roles[i] == "system"]
+        assert frame or c == 4  # ties go by role
+        for who in set(roles) - {"system"}:
+            whole, spans = chat.render(who, roles, texts)
+            parts = sorted(got.pop((c, who)), key=lambda r: r["segment"])
+            assert [r["n_turns"] for r in parts[:-1]] == [10] * ((len(mine) - 1) // 10)
+            assert [r["first_turn"] for r in parts] == list(range(0, len(mine), 10))
+            assert "".join(r["rendered"][r["frame_chars"]:] for r in parts) == whole
+            moved = [(int(x) + r["offset"] - r["frame_chars"]) for r in parts if r["mask"]
+                     for span in r["mask"].split(",") for x in span.split("-")]
+            assert moved == [x for span in spans for x in span]
+            for r in parts[1:]:
+                assert r["rendered"][:r["frame_chars"]] == chat.render(
+                    who, ["system"] * len(frame), [texts[i] for i in frame])[0]
+    assert not got and chat.dialogues(df.limit(0)).collect() == []
