@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 
 ROW_TOKENS = 8192
 WINDOW_TOKENS = 1 << 22
+WORD_VOCABULARY = 49408
 
 
 def byte_ids() -> Callable[[str], np.ndarray]:
@@ -36,7 +37,7 @@ def byte_ids() -> Callable[[str], np.ndarray]:
 
 
 def word_ids() -> Callable[[str], np.ndarray]:
-    """Encoder for the public word-level vocabulary; use with ``vocabulary=49408``."""
+    """Encoder for the public word-level vocabulary; use with ``WORD_VOCABULARY``."""
     from .bpe import WordBpe, vocabulary_text
     bpe = WordBpe(vocabulary_text())
     return lambda text: np.array(bpe.ids(text), dtype=np.uint16)

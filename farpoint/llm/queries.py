@@ -12,7 +12,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import LONG_WORDS, line_report
 from .mixing import mix_report
-from .packing import write_packed
+from .packing import WORD_VOCABULARY, word_ids, write_packed
 from .quality_model import classify
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
@@ -268,6 +268,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed rows of all documents' byte ids, written and read again, with a digest of the ids."""
-    packed = write_packed(table(spark, sf_dir, "documents"), scratch_path(spark, "packed"))
+    return digests(write_packed(table(spark, sf_dir, "documents"), scratch_path(spark, "packed")))
+
+
+@query
+def op10_token_packing_word_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10_token_packing of the public vocabulary's token ids, tokenised here."""
+    return digests(write_packed(table(spark, sf_dir, "documents"),
+                                scratch_path(spark, "packed-words"),
+                                encoder=word_ids, vocabulary=WORD_VOCABULARY))
+
+
+def digests(packed: DataFrame) -> DataFrame:
     return packed.select("row_id", F.sha2("ids", 256).alias("ids_sha256"), "n_tokens",
                          "cu_seqlens", "position_resets", "doc_ids", "pieces")

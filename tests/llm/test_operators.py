@@ -465,3 +465,22 @@ def test_dialogues_give_back_the_whole(spark):
                 assert r["rendered"][:r["frame_chars"]] == chat.render(
                     who, ["system"] * len(frame), [texts[i] for i in frame])[0]
     assert not got and chat.dialogues(df.limit(0)).collect() == []
+
+
+def test_packed_word_ids_are_the_library_s(spark, docs, rows):
+    packed = packing.pack(docs, row_tokens=256, window_tokens=3000, encoder=packing.word_ids,
+                          vocabulary=packing.WORD_VOCABULARY).collect()
+    parts = {}
+    for row in packed:
+        ids = np.frombuffer(row["ids"], "<u2").tolist()
+        assert len(ids) == 256 and not any(ids[row["n_tokens"]:])
+        for doc, piece, a, b in zip(row["doc_ids"], row["pieces"], row["cu_seqlens"],
+                                    row["cu_seqlens"][1:], strict=False):
+            parts.setdefault(doc, {})[piece] = ids[a:b]
+    for (d, *_), (want, _) in zip(rows, library_ids([t or "" for _, t, _ in rows]), strict=True):
+        assert sum([parts[d][n] for n in sorted(parts[d])], []) == want
+    from farpoint.llm.queries import QUERIES
+    got = QUERIES["op10_token_packing_word_ids"](spark, "/root/testdata/sf0.001").collect()
+    texts = [r["text"] for r in spark.read.parquet(
+        "/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    assert sum(r["n_tokens"] for r in got) == sum(len(i) for i, _ in library_ids(texts))
