@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe import encode_digest
 from .chat import dialogues, perspectives
+from .collocations import collocations
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import LONG_WORDS, line_report
@@ -279,6 +280,51 @@ def op10_token_packing_word_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 encoder=word_ids, vocabulary=WORD_VOCABULARY))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_collocations"] = """
+WITH said AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+piece AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')),
+                                  '[^\\x20\\x09]+') AS w FROM said),
+place AS (SELECT lang, w, unnest(range(1, 1 + len(w))) AS i FROM piece WHERE len(w) > 0),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM place CROSS JOIN (VALUES (1), (2), (3)) s(k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL),
+size AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM gram WHERE f >= 10),
+cut AS (
+  SELECT c.lang, c.k, c.phrase, c.w, c.f, h.k AS split, h.f AS l, t.f AS r,
+         1000000 * c.f * c.f // (h.f * t.f) AS score
+  FROM often c JOIN often h ON h.lang = c.lang AND h.k < c.k
+                           AND h.phrase = array_to_string(c.w[1:h.k], ' ')
+  JOIN often t ON t.lang = c.lang AND t.k = c.k - h.k
+              AND t.phrase = array_to_string(c.w[h.k + 1:], ' ')),
+weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (
+    PARTITION BY lang, phrase ORDER BY score, split) = 1),
+kept AS (
+  SELECT * FROM weakest a WHERE NOT EXISTS (
+    SELECT 1 FROM often b WHERE a.k = 2 AND b.k = 3 AND b.lang = a.lang
+    AND 100 * b.f >= 50 * a.f
+    AND a.phrase IN (array_to_string(b.w[1:2], ' '), array_to_string(b.w[2:3], ' ')))),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN size USING (lang) WHERE rank <= 2000
+"""
+
+
 def digests(packed: DataFrame) -> DataFrame:
     return packed.select("row_id", F.sha2("ids", 256).alias("ids_sha256"), "n_tokens",
                          "cu_seqlens", "position_resets", "doc_ids", "pieces")
