@@ -1,17 +1,22 @@
 """Distance statistics, thresholds and the anomaly predicates.
 
 All statistics are global: one aggregation with map-side partials, so the
-shuffle carries one row per task whatever the table size, and never a global
-window (which would pull every row into one partition).
+shuffle carries a few rows per task (one for each exponent that occurs, see
+``moments``) whatever the table size, and never a global window (which would pull
+every row into one partition). Sums are exact, so the threshold is the same to the
+last bit however the table is split, and a strict cut always flags the same rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .moments import Moments, limb_columns, limb_sums, whole
+
 # Fixed values from the reference: sigma multiplier per algorithm (its
 # comments say 2; its code uses these).
 DEFAULT_SIGMA = {"kmeans": 4.0, "bisectingkmeans": 3.0}
@@ -30,28 +35,32 @@ class DistanceStats:
         return self.mean + n_sigma * self.std
 
 
-def stats_columns(distance: Column) -> list[Column]:
-    """Mean and sample std (0 for a single row) of a distance column."""
-    return [F.count(distance).alias("n"), F.avg(distance).alias("mean"),
-            F.coalesce(F.stddev_samp(distance), F.lit(0.0)).alias("std")]
+def stats_rows(scored: DataFrame, distance_col: str = "distance") -> DataFrame:
+    """The statistics aggregate, lazily: one row for each exponent of the distances."""
+    split = whole(scored.select(F.col(f"`{distance_col}`").cast("double").alias("d")), "d", "d")
+    return (split.selectExpr("d", "e", *limb_columns()).groupBy("e")
+            .agg(F.count("d").alias("n"), F.count(F.lit(1)).alias("rows"), F.max("d").alias("max"),
+                 F.expr("sum(cast(isnan(d) as bigint)) as nans"), *limb_sums()))
 
 
 def distance_stats(scored: DataFrame, distance_col: str = "distance") -> DistanceStats:
-    """A1 + A2 in one job; only one row reaches the driver. The maximum comes
-    with it, so "was anything flagged" needs no further pass (A5).
+    """A1 + A2 in one job; a bounded number of rows reaches the driver, one for each
+    exponent. The maximum comes with them, so "was anything flagged" needs no further
+    pass (A5).
 
     A null or NaN distance comes from a null or NaN numeric feature, which
     the reference's assembler rejects; the same job counts them and raises.
     """
-    d = F.col(distance_col)
-    row = scored.agg(*stats_columns(d), F.max(d).alias("max"), F.count(F.lit(1)).alias("rows"),
-                     F.sum(F.when(F.isnan(d), 1).otherwise(0)).alias("nans")).first()
-    n = int(row["n"] or 0)
-    bad = int(row["rows"] or 0) - n + int(row["nans"] or 0)
+    rows = stats_rows(scored, distance_col).collect()
+    n = sum(r["n"] for r in rows)
+    bad = sum(r["rows"] for r in rows) - n + sum(r["nans"] or 0 for r in rows)
     if bad:
         raise ValueError(f"{bad} scored row(s) have a null or NaN numeric feature")
-    return DistanceStats(n, float(row["mean"] or 0.0), float(row["std"] or 0.0) if n > 1 else 0.0,
-                         float(row["max"]) if row["max"] is not None else None)
+    top = max((r["max"] for r in rows if r["max"] is not None), default=None)
+    if top == math.inf:
+        return DistanceStats(n, math.inf, math.nan if n > 1 else 0.0, top)
+    found = Moments.of(n, rows)
+    return DistanceStats(n, found.mean, found.std, top)
 
 
 def sigma_predicate(distance: Column, threshold: float) -> Column:
@@ -69,8 +78,3 @@ def rule_by_name(name: str) -> str:
     if key not in RULES:
         raise ValueError(f"unknown rule {name!r}; expected one of {RULES}")
     return key
-
-
-def any_flagged(flagged: DataFrame) -> bool:
-    """A5: true when at least one row is flagged (stops at the first row)."""
-    return not flagged.isEmpty()

@@ -15,11 +15,13 @@ Semantics kept from the reference (SURVEY §2.2-2.3):
 
 Fitting reads the table once: one aggregation (map-side combined, so a hot
 label costs one partial row per task) returns every label count together
-with the numeric spreads and null/NaN counts.
+with the numeric spreads and null/NaN counts. Numeric spreads come from exact
+sums (``moments``), so they don't depend on how the table is split.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 
 from ..session import drop_path, materialise_at
 from .indexing import LabelTable, distributed_label_tables, local_label_tables
+from .moments import Moments, limb_columns, limb_sums, whole
 
 # Largest label table ranked on the driver and broadcast: both the number
 # of distinct labels (all string columns together) and their total UTF-8
@@ -159,11 +162,12 @@ def _label_col(pos: int) -> str:
 def fit_statistics(df: DataFrame, numeric: list[str], strings: list[str]) -> DataFrame:
     """The one-scan fitting aggregate, as a lazy DataFrame.
 
-    One output row per (position, label): position 0 (label null) carries the
-    row counts and, per numeric column i, ``std{i}``, ``cnt{i}``, ``nan{i}``
-    over rows kept by every null skip; position j >= 1 carries, for string
-    column j, each label's count ``n_fit`` over rows whose strings 1..j are
-    non-null (the ordering count) and ``n_kept`` over fully kept rows.
+    One output row per (position, label, e). Position 0 (label and e null) carries the
+    row counts. Position -1 - i carries, for numeric column i, over rows kept by every
+    null skip, ``cnt`` and ``nan`` and the limb sums of its exact moments, one row for
+    each exponent ``e``. Position j >= 1 carries, for string column j, each label's count
+    ``n_fit`` over rows whose strings 1..j are non-null (the ordering count) and
+    ``n_kept`` over fully kept rows.
     """
     # prefix[j]: strings 0..j are all non-null (row survives indexer j).
     prefix: list[Column] = []
@@ -172,27 +176,37 @@ def fit_statistics(df: DataFrame, numeric: list[str], strings: list[str]) -> Dat
         cond = F.col(s).isNotNull() if cond is None else cond & F.col(s).isNotNull()
         prefix.append(cond)
     kept = prefix[-1] if prefix else F.lit(True)
-    nums = [F.col(c).cast("double") for c in numeric]
-    null_double = F.lit(None).cast("double")
 
-    def record(pos: int, label: Column, fit_flag: Column, xs: list[Column]) -> Column:
-        parts = [F.lit(pos).alias("pos"), label.cast("string").alias("label"),
-                 fit_flag.cast("long").alias("w_fit"), kept.cast("long").alias("w_kept")]
-        parts += [x.alias(f"x{i}") for i, x in enumerate(xs)]
-        return F.struct(*parts)
-
-    records = [record(0, F.lit(None), F.lit(True), [F.when(kept, x) for x in nums])]
-    for j, s in enumerate(strings, 1):
-        records.append(record(j, F.col(s), prefix[j - 1], [null_double] * len(nums)))
-
-    aggs = [F.sum("w_fit").alias("n_fit"), F.sum("w_kept").alias("n_kept")]
-    for i in range(len(nums)):
-        x = F.col(f"x{i}")
-        aggs += [F.stddev_samp(x).alias(f"std{i}"), F.count(x).alias(f"cnt{i}"),
-                 F.sum(F.when(F.isnan(x), 1).otherwise(0)).alias(f"nan{i}")]
-    return (df.select(F.inline(F.array(*records)))
-            .where(F.col("w_fit") == 1)
-            .groupBy("pos", "label").agg(*aggs))
+    def record(pos: int, label: Column, fit_flag: Column, x: Column) -> Column:
+        return F.struct(F.lit(pos).alias("pos"), label.cast("string").alias("label"),
+                        fit_flag.cast("long").alias("w_fit"), kept.cast("long").alias("w_kept"),
+                        x.cast("double").alias("x"))
+
+    null = F.lit(None)
+    records = [record(0, null, F.lit(True), null)]
+    records += [record(-1 - i, null, kept, F.col(c)) for i, c in enumerate(numeric)]
+    records += [record(j, F.col(s), prefix[j - 1], null) for j, s in enumerate(strings, 1)]
+    keys = ["pos", "label", "w_fit", "w_kept", "x"]
+    split = whole(df.select(F.inline(F.array(*records))).where("w_fit = 1"), "x", *keys)
+    return (split.selectExpr(*keys, "e", *limb_columns()).groupBy("pos", "label", "e")
+            .agg(F.sum("w_fit").alias("n_fit"), F.sum("w_kept").alias("n_kept"),
+                 F.count("x").alias("cnt"), F.expr("sum(cast(isnan(x) as bigint)) as nan"),
+                 F.expr("max(abs(x)) as size"), *limb_sums()))
+
+
+def numeric_spread(name: str, rows: list, rows_kept: int) -> float:
+    """Sample std of a numeric column from its exact sums; nulls and NaN are errors."""
+    nulls = rows_kept - sum(r["cnt"] for r in rows)
+    nans = sum(r["nan"] or 0 for r in rows)
+    if nulls:
+        raise ValueError(f"numeric feature {name!r} has {nulls} null value(s); "
+                         "null numbers are an error (rows with a null string feature "
+                         "are skipped instead)")
+    if nans:
+        raise ValueError(f"numeric feature {name!r} has {nans} NaN value(s)")
+    if any(r["size"] == math.inf for r in rows):
+        return math.nan if rows_kept > 1 else 0.0
+    return Moments.of(rows_kept, rows).std
 
 
 def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
@@ -204,39 +218,28 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
     spark = df.sparkSession
     stats = fit_statistics(df, numeric, strings)
 
-    # One row per distinct label plus one: collect only when within the
+    # One row per distinct label, and few others: collect only when within the
     # bounds. The (label-sized) result is persisted, so the size check, the
     # collect or the write-out all reuse one scan of the table.
     held = stats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        size = held.agg(F.count(F.lit(1)).alias("n"),
+        size = held.agg(F.count("label").alias("n"),
                         F.sum(F.octet_length("label")).alias("bytes")).first()
-        local = (int(size["n"]) <= max_local_labels + 1
+        local = (int(size["n"]) <= max_local_labels
                  and int(size["bytes"] or 0) <= MAX_LOCAL_LABEL_BYTES)
         head = held.collect() if local else []
         if not local:
             stats, stats_path = materialise_at(held, "feature-stats")
-            top = stats.where(F.col("pos") == 0).collect()
+            top = stats.where(F.col("pos") <= 0).collect()
         else:
-            top = [r for r in head if r["pos"] == 0]
+            top = [r for r in head if r["pos"] <= 0]
     finally:
         held.unpersist()
-    row0 = top[0] if top else None
+    row0 = next((r for r in top if r["pos"] == 0), None)
     rows_seen = int(row0["n_fit"]) if row0 else 0
     rows_kept = int(row0["n_kept"] or 0) if row0 else 0
-
-    num_stds = []
-    for i, name in enumerate(numeric):
-        nulls = rows_kept - int(row0[f"cnt{i}"] or 0) if row0 else 0
-        nans = int(row0[f"nan{i}"] or 0) if row0 else 0
-        if nulls:
-            raise ValueError(f"numeric feature {name!r} has {nulls} null value(s); "
-                             "null numbers are an error (rows with a null string feature "
-                             "are skipped instead)")
-        if nans:
-            raise ValueError(f"numeric feature {name!r} has {nans} NaN value(s)")
-        std = row0[f"std{i}"] if row0 else None
-        num_stds.append(float(std) if std is not None and rows_kept > 1 else 0.0)
+    num_stds = [numeric_spread(name, [r for r in top if r["pos"] == -1 - i], rows_kept)
+                for i, name in enumerate(numeric)]
 
     label_cols = [_label_col(j) for j in range(1, len(strings) + 1)]
     index_cols = [index_name(s) for s in strings]
@@ -244,10 +247,10 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
         tables: list[LabelTable] = []
     elif local:
         rows = [(r["pos"], r["label"], int(r["n_fit"]), int(r["n_kept"] or 0))
-                for r in head if r["pos"] != 0]
+                for r in head if r["pos"] > 0]
         tables = local_label_tables(spark, strings, rows, label_cols, index_cols)
     else:
-        counts = stats.where(F.col("pos") != 0).select(
+        counts = stats.where(F.col("pos") > 0).select(
             "pos", "label", "n_fit", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
         tables = distributed_label_tables(counts, strings, label_cols, index_cols)
         drop_path(spark, stats_path)       # the ranked label table is written
@@ -255,10 +258,3 @@ def fit_features(df: DataFrame, features: list[str], *, layout: str = "3n",
     stds = num_stds + [t.std if rows_kept > 1 else 0.0 for t in tables]
     return FeatureModel(list(features), numeric, strings, tables, stds,
                         rows_seen, rows_kept, layout)
-
-
-def prepare(df: DataFrame, features: list[str], *, layout: str = "3n") -> DataFrame:
-    """Fit on ``df`` and return the selected features with index and
-    coordinate columns (F4 + F5 in one call)."""
-    model = fit_features(df, features, layout=layout)
-    return model.transform(df.select(*features))

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from farpoint.operators.detection import stats_columns  # noqa: E402
+from farpoint.operators.detection import stats_rows  # noqa: E402
 from farpoint.operators.features import fit_features, fit_statistics  # noqa: E402
 from farpoint.plans.catalogue import EVENT_FEATURES, group_centres, table  # noqa: E402
 from farpoint.plans.model import AnomalyModel  # noqa: E402
@@ -30,7 +30,7 @@ if __name__ == "__main__":
     model = AnomalyModel.from_centres("kMeans", EVENT_FEATURES,
                                       group_centres(prep, events, "event_type"), prep)
     scored, _ = model.score(events, preparation=prep)
-    show("distance statistics", scored.agg(*stats_columns(F.col("distance"))))
+    show("distance statistics", stats_rows(scored))
     det = model.detect(events, preparation=prep, id_col="event_id")
     show("flagged alert lines", det.alerts())
     customer = table(spark, sf, "customer")
