@@ -12,10 +12,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_SUBDIR = "farpoint-scratch"
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # HotSpot does not JIT-compile methods over 8000 bytes of bytecode. Spark's
 # documentation recommends this value for spark.sql.codegen.hugeMethodLimit
@@ -102,10 +105,26 @@ def materialise_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``materialise`` that also returns the written path (for ``drop_path``)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside drop their shuffle files as they end.
+
+    For results that are written: nothing reads those files again. Else they stay until
+    the driver's garbage collector happens upon what owns them.
+    """
+    old = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, old)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table this library wrote, through Hadoop's FileSystem API
     (works for the shared store the checkpoint folder lives on)."""

@@ -37,24 +37,27 @@ def read_csv(spark: SparkSession, path: str, *, schema: StructType | str | None
 
 
 def read_json(spark: SparkSession, path: str, *,
-              schema: StructType | str | None = None) -> DataFrame:
+              schema: StructType | str | None = None,
+              sampling_ratio: float | None = None) -> DataFrame:
     """JSON lines (S3). Inferred columns come out in alphabetical order."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    elif sampling_ratio is not None:
+        reader = reader.option("samplingRatio", str(sampling_ratio))
     return reader.json(path)
 
 
 def read_file(spark: SparkSession, path: str, file_type: str = "csv", *,
               schema: StructType | str | None = None,
               sampling_ratio: float | None = None) -> DataFrame:
-    """Read a file by type name (S2). For CSV, ``schema`` skips inference and
+    """Read a file by type name (S2). For CSV and JSON, ``schema`` skips inference and
     ``sampling_ratio`` infers from a sample instead of a full extra pass."""
     kind = file_format_by_name(file_type)
     if kind == "csv":
         return read_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio)
     if kind == "json":
-        return read_json(spark, path, schema=schema)
+        return read_json(spark, path, schema=schema, sampling_ratio=sampling_ratio)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

@@ -50,6 +50,40 @@ def pinned_offsets(raw: DataFrame) -> str | None:
     return json.dumps(out, sort_keys=True) if out else None
 
 
+def plan_offsets(ends: dict[str, dict[int, int]]) -> str:
+    """The offsets JSON that Spark's reader takes, from {topic: {partition: end}}.
+
+    The reader wants every partition of a topic in it, those without records as well.
+    """
+    return json.dumps({topic: {str(p): int(end) for p, end in sorted(parts.items())}
+                       for topic, parts in sorted(ends.items())})
+
+
+def topic_ends(spark: SparkSession, brokers: str, topic: str,
+               options: dict[str, str] | None = None) -> dict[str, dict[int, int]]:
+    """End offset of every partition of ``topic``, empty ones too, from the brokers'
+    metadata: no record is read. Needs the Kafka client that comes with the connector."""
+    jvm = spark.sparkContext._jvm
+    kafka = jvm.org.apache.kafka
+    settings = jvm.java.util.Properties()
+    settings.put("bootstrap.servers", brokers)
+    for side in ("key", "value"):
+        settings.put(f"{side}.deserializer",
+                     "org.apache.kafka.common.serialization.ByteArrayDeserializer")
+    for key, value in (options or {}).items():
+        if key.startswith("kafka."):
+            settings.put(key.removeprefix("kafka."), value)
+    consumer = kafka.clients.consumer.KafkaConsumer(settings)
+    try:
+        parts = jvm.java.util.ArrayList()
+        for info in consumer.partitionsFor(topic):
+            parts.add(kafka.common.TopicPartition(topic, info.partition()))
+        found = consumer.endOffsets(parts)
+        return {topic: {p.partition(): found.get(p) for p in parts}}
+    finally:
+        consumer.close()
+
+
 def decode_kafka(df: DataFrame, schema: StructType | str, *, keep_key: bool = False) -> DataFrame:
     """Parse the JSON payload in ``value`` into top-level columns."""
     parsed = F.from_json(F.col("value").cast("string"), schema).alias("r")
