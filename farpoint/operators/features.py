@@ -124,6 +124,13 @@ class FeatureModel:
             df = table.join_onto(df)
         return df
 
+    def drop(self) -> None:
+        """Delete label tables that were written for this preparation; it is of no use
+        afterwards. For one that scores a single table, as in a stream."""
+        for path in {t.path for t in self.labels if t.path is not None}:
+            frame = next(t.frame for t in self.labels if t.path == path)
+            drop_path(frame.sparkSession, path)
+
     def raw_columns(self) -> list[Column]:
         return [F.col(c).cast("double") for c in self.base_columns]
 

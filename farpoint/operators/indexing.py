@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import drop_path, materialise, materialise_at
+from ..session import drop_path, materialise_at
 
 # Largest label set per column inlined as a literal map in the projection
 # (by count and by total UTF-8 size, which bounds the plan's size).
@@ -46,6 +46,7 @@ class LabelTable:
     mean: float           # mean of the index over the kept rows
     std: float            # sample std of the index over the kept rows
     mapping: dict[str, float] | None = None   # set for inline-sized tables
+    path: str | None = None   # of a table that was written for this mapping
 
     def join_onto(self, df: DataFrame) -> DataFrame:
         """Add the index column; rows with a null or unknown label are skipped."""
@@ -142,7 +143,7 @@ def distributed_label_tables(counts: DataFrame, columns: list[str],
     """
     spark = counts.sparkSession
     lazy_ranked, tagged_path = rank_distributed(counts)
-    ranked = materialise(lazy_ranked, "label-index")
+    ranked, ranked_path = materialise_at(lazy_ranked, "label-index")
     drop_path(spark, tagged_path)
     # Spread of each index column, weighted by kept counts (two small passes
     # over the label table, one row per string column collected each time).
@@ -162,5 +163,6 @@ def distributed_label_tables(counts: DataFrame, columns: list[str],
         frame = ranked.where(F.col("pos") == pos).select(
             F.col("label").alias(label_cols[pos - 1]), F.col("idx").alias(index_cols[pos - 1]))
         tables.append(LabelTable(name, frame, label_cols[pos - 1], index_cols[pos - 1],
-                                 int(sizes.get(pos, 0)), False, float(m or 0.0), std))
+                                 int(sizes.get(pos, 0)), False, float(m or 0.0), std,
+                                 path=ranked_path))
     return tables

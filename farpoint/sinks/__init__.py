@@ -2,8 +2,9 @@
 
 Alerts are a one-column ``value`` DataFrame. The file sink appends part
 files to a directory, written by the executors in parallel (the reference
-appends lines to one local file from the driver). The Kafka sink sends one
-message per line with no key. Write errors propagate.
+appends lines to one local file from the driver); with a commit id, a replay
+leaves the directory as it is. The Kafka sink sends one message per line with
+no key. Write errors propagate.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 
 from ..functions.alerts import NONE_FOUND
+from .commit import commit_text, committed_lines, is_committed
+
+__all__ = ["SINK_KINDS", "all_lines", "commit_text", "committed_lines", "console_lines",
+           "is_committed", "write_alerts", "write_kafka", "write_text"]
 
 SINK_KINDS = ("file", "kafka")
 
@@ -37,13 +42,21 @@ def write_kafka(alerts: DataFrame, brokers: str, topic: str) -> None:
 
 
 def write_alerts(alerts: DataFrame, kind: str = "file", *, path: str | None = None,
-                 brokers: str | None = None, topic: str | None = None) -> None:
-    """K3: choose the sink by name (case-insensitive)."""
+                 brokers: str | None = None, topic: str | None = None,
+                 commit: str | None = None) -> None:
+    """K3: choose the sink by name (case-insensitive).
+
+    With a ``commit`` id the file sink writes these lines once, however often it is
+    called with that id (``commit_text``). Kafka has no such log: a replay sends again.
+    """
     key = (kind or "").lower()
     if key == "file":
         if not path:
             raise ValueError("a file sink needs a path")
-        write_text(alerts, path)
+        if commit is None:
+            write_text(alerts, path)
+        else:
+            commit_text(_value_only(alerts), path, commit)
     elif key == "kafka":
         write_kafka(alerts, brokers or "", topic or "")
     else:
