@@ -23,7 +23,7 @@ from ..operators.detection import DEFAULT_SIGMA, distance_stats
 from ..operators.features import FeatureModel, fit_features, split_features
 from ..session import scratch_path
 from ..sinks import write_alerts
-from ..sources import (column_frame, column_names, decode_kafka, preview, read_file,
+from ..sources import (column_frame, column_names, decode_checked, decode_kafka, preview, read_file,
                        read_source, schema_text, to_kafka_rows)
 from .model import AnomalyModel, Detection, train
 
@@ -94,6 +94,24 @@ def q_kafka_decode(spark, sf_dir):
     return decode_kafka(raw, "event_id long, event_type string, value double")
 
 
+def q_kafka_bad_records(spark, sf_dir):
+    """S5 with bad payloads planted among events (cut off, wrong type, null, a list):
+    every record comes out once, as read or as bad with its text and the reason."""
+    raw = to_kafka_rows(table(spark, sf_dir, "events"), "event_id",
+                        ["event_id", "event_type", "value"], "events")
+    key, text = F.col("key").cast("string").cast("long"), F.col("value").cast("string")
+    planted = (F.when(key % 97 == 5, F.substring(text, 1, 15))
+               .when(key % 101 == 7, F.concat(F.lit('{"event_id":'), key.cast("string"),
+                                              F.lit(',"event_type":"x","value":"n/a"}')))
+               .when(key % 103 == 9, F.lit(None)).when(key % 107 == 11, F.lit("[1, 2]"))
+               .otherwise(text))
+    found = decode_checked(raw.withColumn("value", planted.cast("binary")),
+                           "event_id long, event_type string, value double")
+    return (found.rows.select("event_id", "value", F.lit("read").alias("status"),
+                              F.lit(None).cast("string").alias("record"))
+            .union(found.bad.select(F.lit(None), F.lit(None), "reason", "record")))
+
+
 def q_column_names(spark, sf_dir):
     """Header-only read of a CSV copy of customer."""
     path = staged(table(spark, sf_dir, "customer"), "csv")
@@ -273,6 +291,38 @@ def q_text_sink_append(spark, sf_dir):
     return spark.read.text(path)
 
 
+def q_text_sink_replay(spark, sf_dir):
+    """K1/K3: two micro-batches' alert lines committed, the first one a second time."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    path = scratch_path(spark, "alerts")
+    for epoch in (0, 1, 0):
+        half = events.where(F.col("event_id") % 2 == epoch)
+        write_alerts(format_alerts(half, "event_id"), "file", path=path, commit=f"q-{epoch}")
+    return spark.read.text(path)
+
+
+def q_detect_one_scan(spark, sf_dir):
+    """Events read from CSV once; the bound comes from the training rows' spread."""
+    model, events = _events_model(spark, sf_dir, "kMeans")
+    model.spread["euclidean"] = distance_stats(model.score(
+        events, preparation=model.preparation)[0])
+    path = staged(events.select("event_id", *EVENT_FEATURES), "csv")
+    rows = read_file(spark, path, "csv",
+                     schema="event_id long, event_type string, value double, user_id long")
+    det = model.detect(rows, refit=False, id_col="event_id", one_scan=True)
+    return _id_distance(det.flagged)
+
+
+def q_saved_model(spark, sf_dir):
+    """The model saved, loaded again and used without a refit."""
+    from .store import load_model, save_model
+    model, events = _events_model(spark, sf_dir, "bisectingKMeans")
+    path = scratch_path(spark, "models")
+    save_model(spark, model, path)
+    det = load_model(spark, path).detect(events, "manhattan", refit=False, id_col="event_id")
+    return _id_distance(det.flagged)
+
+
 # --- clustering ----------------------------------------------------------------
 
 def _nation_x(spark, sf_dir):
@@ -307,6 +357,20 @@ def q_silhouette_events(spark, sf_dir):
     return spark.createDataFrame([(round(score, 8),)], "silhouette double")
 
 
+def q_silhouettes_all_k(spark, sf_dir):
+    """Silhouettes of eight clusterings of events (user_id mod k), in two scans."""
+    from pyspark.ml.functions import array_to_vector
+    events = table(spark, sf_dir, "events")
+    prep = fit_features(events, EVENT_FEATURES)
+    clusters = {k: f"cluster_{k}" for k in range(clustering.K_MIN, clustering.K_MAX + 1)}
+    rows = prep.index(events).select(
+        array_to_vector(F.array(*prep.layout_columns())).alias("features"),
+        *[F.pmod("user_id", F.lit(k)).alias(c) for k, c in clusters.items()])
+    scores = clustering.silhouettes(rows, clusters, prep.dimension)
+    return spark.createDataFrame([(k, round(s, 8)) for k, s in scores.items()],
+                                 "k int, silhouette double")
+
+
 def _fit_rank(spark, sf_dir, algorithm):
     nation = _nation_x(spark, sf_dir)
     model = train(nation, ["x"], algorithm, k=5)
@@ -410,6 +474,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "json_scan": q_json_scan,
     "kafka_decode": q_kafka_decode,
+    "kafka_bad_records": q_kafka_bad_records,
     "column_names": q_column_names,
     "preview": q_preview,
     "schema_fields": q_schema_fields,
@@ -434,8 +499,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_text": q_alert_text,
     "flagged_alerts": q_flagged_alerts,
     "text_sink_append": q_text_sink_append,
+    "text_sink_replay": q_text_sink_replay,
+    "detect_one_scan": q_detect_one_scan,
+    "saved_model": q_saved_model,
     "silhouette": q_silhouette,
     "silhouette_events": q_silhouette_events,
+    "silhouettes_all_k": q_silhouettes_all_k,
     "kmeans_fit": q_kmeans_fit,
     "bisecting_fit": q_bisecting_fit,
     "k_search_kmeans": q_k_search_kmeans,

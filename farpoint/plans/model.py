@@ -13,13 +13,15 @@ with its own values, even when rows were skipped for null strings.
 
 Jobs per detection: one scan to fit the preparation (refit only), one scan
 for the distance statistics, and the scan of whoever consumes ``flagged``.
-Nothing row-sized is collected.
+Nothing row-sized is collected. ``one_scan`` reads the scored table once instead:
+see ``AnomalyModel.detect``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,6 +96,13 @@ class Detection:
     rule: str
     id_col: str
     source_columns: list[str]
+    scans: int | None = None     # of the scored table, where ``one_scan`` was asked for
+    staged: str | None = None    # written distances and candidates that ``flagged`` reads
+
+    def drop(self) -> None:
+        """Delete what ``one_scan`` wrote; ``flagged`` cannot be read afterwards."""
+        if self.staged is not None:
+            drop_path(self.flagged.sparkSession, self.staged)
 
     def alerts(self) -> DataFrame:
         """One ``value`` line per flagged row."""
@@ -130,6 +139,7 @@ class AnomalyModel:
     seed: int = clustering.SEED
     silhouettes: dict[int, float] = field(default_factory=dict)
     mllib_model: object | None = None
+    spread: dict[str, DistanceStats] = field(default_factory=dict)   # of training rows, by metric
 
     @property
     def default_sigma(self) -> float:
@@ -178,15 +188,24 @@ class AnomalyModel:
     def detect(self, df: DataFrame, metric: str = "euclidean", *, n_sigma: float | None = None,
                refit: bool = True, rule: str = "sigma", id_col: str | None = None,
                preparation: FeatureModel | None = None,
-               stage_features: bool = False) -> Detection:
+               stage_features: bool = False, one_scan: bool = False) -> Detection:
         """Score ``df`` and flag rows far from every centre.
 
         ``stage_features`` is for row-format sources (CSV, JSON, Kafka),
         where every pass parses whole rows: the chosen columns are written
         once to the shared folder, the refit and the statistics read that
         narrow table, and only the final flag pass reads the source again.
+
+        ``one_scan`` reads the source once where no refit is asked for (``refit=False``
+        or a given ``preparation``): see ``_one_scan``.
         """
         rule = rule_by_name(rule)
+        if one_scan:
+            if rule != "sigma" or (refit and preparation is None):
+                raise ValueError("one_scan needs the sigma rule and a preparation that is fitted "
+                                 "already (refit=False, or preparation=)")
+            _require_batch(df)
+            return self._one_scan(df, metric_by_name(metric), n_sigma, id_col, preparation)
         _require_batch(df)
         id_name = resolve_id_column(df, id_col)
         staged = None
@@ -219,6 +238,44 @@ class AnomalyModel:
                                F.lit(float(threshold))))
         return Detection(scored, flagged, stats, threshold, sigma, rule, id_name, source_columns)
 
+    def _one_scan(self, df: DataFrame, metric: str, n_sigma: float | None,
+                  id_col: str | None, preparation: FeatureModel | None) -> Detection:
+        """The same flags as ``detect``, from one read of ``df``.
+
+        One pass writes every row's distance, and whole rows only where the distance is
+        above a lower bound of the cut: half of the training rows' own. Statistics and
+        flagged rows are then read from that narrow table. The bound only decides what is
+        written: if the exact threshold turns out to be below it, rows between the two are
+        missing, and the flagged rows come from a second scan of the source instead.
+        """
+        id_name = resolve_id_column(df, id_col)
+        sigma = self.default_sigma if n_sigma is None else float(n_sigma)
+        known = self.spread.get(metric)
+        bound = known.threshold(sigma) / 2 if known is not None else 0.0
+        scored, columns = self.score(df, metric, False, preparation)
+        distance = free_name(columns, DISTANCE_COL)
+        far = F.col(distance) > F.lit(bound)
+        row = F.struct(*[F.col(f"`{c}`") for c in columns])
+        staged, path = materialise_at(scored.select(
+            F.col(distance).alias("d"), F.when(far, row).alias("row")), "scored-once")
+        try:
+            stats = distance_stats(staged, "d")
+        except ValueError:
+            drop_path(df.sparkSession, path)
+            raise
+        threshold = stats.threshold(sigma)
+        cut = (free_name(columns, THRESHOLD_COL), F.lit(float(threshold)))
+        scans = 1 if threshold >= bound else 2
+        if scans == 1:
+            flagged = staged.where(sigma_predicate(F.col("d"), threshold)).select(
+                "row.*", F.col("d").alias(distance)).withColumn(*cut)
+        else:
+            drop_path(df.sparkSession, path)
+            path = None
+            flagged = scored.where(sigma_predicate(F.col(distance), threshold)).withColumn(*cut)
+        return Detection(scored, flagged, stats, threshold, sigma, "sigma", id_name, columns,
+                         scans, path)
+
     @classmethod
     def from_centres(cls, algorithm: str, features: list[str], centres: list[list[float]],
                      preparation: FeatureModel) -> AnomalyModel:
@@ -237,7 +294,8 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
           k: int | None = None, k_min: int = clustering.K_MIN, k_max: int = clustering.K_MAX,
           seed: int = clustering.SEED, layout: str = "3n",
           parallelism: int | None = None, partitions: int | None = None,
-          cache: bool = True, stage_features: bool = False) -> AnomalyModel:
+          cache: bool = True, stage_features: bool = False,
+          spread: tuple[str, ...] = ()) -> AnomalyModel:
     """Fit the preparation and a clustering model on ``df``.
 
     With ``k`` given, the silhouette search is skipped. ``parallelism`` runs
@@ -247,7 +305,9 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
     (what the reference does; only useful to measure the written table's worth).
     ``stage_features`` (for CSV / JSON / Kafka sources) writes the chosen
     columns once, so the fit and the coordinate pass do not parse the source
-    rows twice.
+    rows twice. ``spread`` names metrics for which the model keeps the statistics of the
+    training rows' distances, one more scan of the coordinates each: the bound that
+    ``detect(one_scan=True)`` starts from.
 
     The coordinates are checkpointed once in the shared checkpoint folder, in
     the order and split they have: the fits and silhouette passes read that
@@ -262,14 +322,14 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kMeans", *,
         df, staged_path = materialise_at(df.select(*features), "train-features")
     try:
         return _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism,
-                      partitions, cache)
+                      partitions, cache, spread)
     finally:
         if staged_path is not None:
             drop_path(df.sparkSession, staged_path)
 
 
 def _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism, partitions,
-           cache) -> AnomalyModel:
+           cache, metrics) -> AnomalyModel:
     prep = fit_features(df, features, layout=layout)
     if prep.rows_kept == 0:
         raise ValueError("no rows left to train on (empty table, or every row has a "
@@ -289,8 +349,12 @@ def _train(df, features, algo, k, k_min, k_max, seed, layout, parallelism, parti
         else:
             found = clustering.search_k(frame, algo, k_min, k_max, seed, parallelism=parallelism)
             model, scores, best_k = found.model, found.scores, found.k
+        centres = [list(map(float, c)) for c in model.clusterCenters()]
+        points = frame.select(vector_to_array("features").alias("x"))
+        x = [F.col("x")[i] for i in range(prep.dimension)]
+        spreads = {m: distance_stats(points.select(nearest_distance(x, centres, m).alias("d")), "d")
+                   for m in map(metric_by_name, metrics)}
     finally:
         if written is not None:     # the model keeps only centres, not the table
             drop_path(df.sparkSession, written)
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    return AnomalyModel(algo, list(features), centres, prep, best_k, seed, scores, model)
+    return AnomalyModel(algo, list(features), centres, prep, best_k, seed, scores, model, spreads)

@@ -82,34 +82,41 @@ _CUSTOMER_NULL_SEG = ("SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_mktsegm
 _NATION_X = ("SELECT n_nationkey AS id, n_regionkey AS cl, "
              "CAST(n_regionkey * 1000 + n_nationkey AS DOUBLE) AS x FROM nation")
 
-_SILHOUETTE_TAIL = """
+def _silhouette_tail(by: str = "") -> str:
+    """Silhouettes from ``per`` (id, cl, ocl, own, md), one mean for each ``by``."""
+    keys, first = (f"{by}, id", f"{by}, ") if by else ("id", "")
+    return f"""
 ab AS (
-  SELECT id,
+  SELECT {keys},
          max(CASE WHEN ocl = cl THEN md END) AS a,
          min(CASE WHEN ocl <> cl THEN md END) AS b,
          max(CASE WHEN ocl = cl THEN own END) AS own_n
-  FROM per GROUP BY id),
+  FROM per GROUP BY {keys}),
 s AS (
-  SELECT CASE WHEN own_n = 1 OR a IS NULL THEN 0
+  SELECT {first}CASE WHEN own_n = 1 OR a IS NULL THEN 0
               WHEN a < b THEN 1 - a / b
               WHEN a > b THEN b / a - 1 ELSE 0 END AS s
   FROM ab)
-SELECT round(avg(s), 8) AS silhouette FROM s"""
+SELECT {first}round(avg(s), 8) AS silhouette FROM s""" + (f" GROUP BY {by}" if by else "")
 
 
-def _events_silhouette() -> str:
+def _events_silhouette(rows: str, by: str = "") -> str:
+    """Silhouettes of ``rows``: prepared events with a cluster ``cl`` (for each ``by``)."""
     sqn = "2 * (p.r0 * p.r0 + p.r1 * p.r1 + p.r2 * p.r2) + p.s0 * p.s0 + p.s1 * p.s1 + p.s2 * p.s2"
     dot = "2 * (p.r0 * cs.t0 + p.r1 * cs.t1 + p.r2 * cs.t2) + p.s0 * cs.u0 + p.s1 * cs.u1 + p.s2 * cs.u2"
+    key, mine = (f"{by}, ", f"p.{by}, ") if by else ("", "")
+    pairs = f"JOIN cs ON cs.{by} = p.{by}" if by else "CROSS JOIN cs"
     return (f"WITH {_EVENTS_PREP},\n"
-            "cs AS (SELECT r2 AS cl, count(*) AS n, sum(r0) AS t0, sum(r1) AS t1, sum(r2) AS t2, "
+            f"pk AS ({rows}),\n"
+            f"cs AS (SELECT {key}cl, count(*) AS n, sum(r0) AS t0, sum(r1) AS t1, sum(r2) AS t2, "
             "sum(s0) AS u0, sum(s1) AS u1, sum(s2) AS u2, "
             "sum(2 * (r0 * r0 + r1 * r1 + r2 * r2) + s0 * s0 + s1 * s1 + s2 * s2) AS q "
-            "FROM p GROUP BY r2),\n"
-            "per AS (SELECT p.event_id AS id, p.r2 AS cl, cs.cl AS ocl, cs.n AS own, "
-            f"CASE WHEN cs.cl = p.r2 THEN CASE WHEN cs.n > 1 THEN "
+            f"FROM pk GROUP BY {key}cl),\n"
+            f"per AS (SELECT {mine}p.event_id AS id, p.cl, cs.cl AS ocl, cs.n AS own, "
+            f"CASE WHEN cs.cl = p.cl THEN CASE WHEN cs.n > 1 THEN "
             f"(({sqn}) + cs.q / cs.n - 2 * ({dot}) / cs.n) * cs.n / (cs.n - 1) END "
             f"ELSE ({sqn}) + cs.q / cs.n - 2 * ({dot}) / cs.n END AS md "
-            "FROM p CROSS JOIN cs)," + _SILHOUETTE_TAIL)
+            f"FROM pk p {pairs})," + _silhouette_tail(by))
 
 
 def _job(sigma: int) -> str:
@@ -145,6 +152,22 @@ ORACLE_SQL: dict[str, str] = {
     "json_scan": "SELECT c_acctbal, c_custkey, c_mktsegment, c_name, "
                  "CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer",
     "kafka_decode": "SELECT event_id, event_type, value FROM events",
+    "kafka_bad_records": """
+WITH k AS (
+  SELECT event_id, value,
+         CASE WHEN event_id % 97 = 5 THEN 'not JSON'
+              WHEN event_id % 101 = 7 THEN 'does not fit the schema'
+              WHEN event_id % 103 = 9 THEN 'empty payload'
+              WHEN event_id % 107 = 11 THEN 'does not fit the schema' ELSE 'read' END AS status,
+         CASE WHEN event_id % 97 = 5
+              THEN left('{"event_id":' || event_id || ',"event_type":"', 15)
+              WHEN event_id % 101 = 7
+              THEN '{"event_id":' || event_id || ',"event_type":"x","value":"n/a"}'
+              WHEN event_id % 103 = 9 THEN ''
+              WHEN event_id % 107 = 11 THEN '[1, 2]' END AS record
+  FROM events)
+SELECT CASE WHEN status = 'read' THEN event_id END AS event_id,
+       CASE WHEN status = 'read' THEN value END AS value, status, record FROM k""",
     "column_names": "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name "
                     "FROM (DESCRIBE customer)",
     "preview": "SELECT * FROM events ORDER BY event_id LIMIT 20",
@@ -227,6 +250,10 @@ FROM t2 CROSS JOIN sd""",
                                                             ("event_type", False),
                                                             ("value", True)], "events") + ")\n"
                         "SELECT value FROM a UNION ALL SELECT value FROM a",
+    "text_sink_replay": _alert("event_id", [("event_id", True), ("event_type", False),
+                                            ("value", True)], "events"),
+    "detect_one_scan": _flagged("euclid", 4),
+    "saved_model": _flagged("manhattan", 3),
     "silhouette": f"""
 WITH pts AS ({_NATION_X}),
 sizes AS (SELECT cl, count(*) AS own FROM pts GROUP BY cl),
@@ -234,8 +261,11 @@ pair AS (SELECT a.id, a.cl, b.cl AS ocl, (a.x - b.x) * (a.x - b.x) AS d2
          FROM pts a JOIN pts b ON a.id <> b.id),
 per AS (SELECT pair.id, pair.cl, pair.ocl, avg(d2) AS md, max(sizes.own) AS own
         FROM pair JOIN sizes ON pair.cl = sizes.cl GROUP BY pair.id, pair.cl, pair.ocl),""" +
-    _SILHOUETTE_TAIL,
-    "silhouette_events": _events_silhouette(),
+    _silhouette_tail(),
+    "silhouette_events": _events_silhouette("SELECT p.*, p.r2 AS cl FROM p"),
+    "silhouettes_all_k": _events_silhouette(
+        "SELECT p.*, CAST(ks.k AS INTEGER) AS k, CAST(p.r1 AS BIGINT) % ks.k AS cl "
+        "FROM p CROSS JOIN (SELECT unnest(range(3, 11)) AS k) ks", "k"),
     "kmeans_fit": "SELECT n_nationkey, n_regionkey AS cluster FROM nation",
     "bisecting_fit": "SELECT n_nationkey, n_regionkey AS cluster FROM nation",
     "k_search_kmeans": "SELECT CAST(count(DISTINCT n_regionkey) AS INTEGER) AS k FROM nation",

@@ -12,6 +12,8 @@ FAST = ["csv_scan", "json_scan", "kafka_decode", "column_names", "preview", "sch
         "detect_kmeans_rule_manhattan", "detect_bisecting_rule_euclid",
         "detect_bisecting_rule_manhattan", "any_anomaly", "sqrt_rule", "alert_text",
         "flagged_alerts", "text_sink_append", "silhouette", "silhouette_events",
+        "silhouettes_all_k", "kafka_bad_records", "text_sink_replay", "detect_one_scan",
+        "saved_model",
         "kmeans_fit", "bisecting_fit"]
 
 
