@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .alignment import align_report
 from .bpe import encode_digest
 from .chat import dialogues, perspectives
 from .collocations import collocations
 from .common import table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .line_dedup import LONG_WORDS, line_report
 from .mixing import mix_report
 from .packing import WORD_VOCABULARY, word_ids, write_packed
@@ -325,6 +327,18 @@ FROM ranked JOIN size USING (lang) WHERE rank <= 2000
 """
 
 
+@query
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, linked at a Jaccard similarity of 0.9."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two public vocabularies, by document."""
+    return align_report(table(spark, sf_dir, "documents"))
+
+
 def digests(packed: DataFrame) -> DataFrame:
     return packed.select("row_id", F.sha2("ids", 256).alias("ids_sha256"), "n_tokens",
                          "cu_seqlens", "position_resets", "doc_ids", "pieces")
