@@ -5,16 +5,17 @@ at blanks and tabs into words. Relation R1 holds one occurrence for every word:
 position and its item. Positions skip one number at every piece's end, so adjacent
 positions always lie in one piece. Level k then repeats SETM's steps:
 
-1. group-count: items are counted in every run, summed per language, and groups met
-   ``min_count`` times or more get an id;
-2. semi-join: every run meets its own frequent groups; other occurrences leave;
+1. group-count: items are counted in every run and summed per language over all runs;
+2. semi-join: every run keeps its groups met ``min_count`` times or more in all; other
+   occurrences leave;
 3. merge-join: what stays is still sorted, so an occurrence of k words meets the one
    at the next position, and both make up an occurrence of k + 1 words.
 
 A relation lies in runs of about ``RUN_WORDS`` words, written sorted to the shared
-folder. Occurrences are never shuffled by what they say: only a run's distinct groups
-and their counts are, so a word that makes up a third of the corpus is one row for each
-run. A level's relation is deleted when the next one is written.
+folder: steps between positions, and items. Occurrences are never shuffled by what they
+say: a run's distinct groups are, with their counts, so a word that makes up a third of
+the corpus is one short row for each run. One shuffle sums a group up and tells every run
+that holds it. A level's relation is deleted when the next one is written.
 
 Counts are exact: scores are whole-number divisions of 38-digit decimals, and
 1,000,000 * a * a fits them for any a up to 10^16. Null texts are empty and have no
@@ -43,8 +44,10 @@ _END = b"\xff"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r",
                         b"abcdefghijklmnopqrstuvwxyz" + 10 * _END)
 SALTS = 64
+# A group's id is its first place: run (task and number in the task) and code in the run.
+TASK_RUNS, CODES = 1 << 12, 1 << 27
 
-RELATION = "run long, starts binary, items binary"
+RELATION = "run long, n int, steps binary, items binary"
 RUNS = (RELATION + ", langs array<string>, words array<string>, lang array<int>, "
         "counts array<long>")
 GROUPS = RELATION + ", lefts array<long>, rights array<long>, counts array<long>"
@@ -90,8 +93,8 @@ class _Run:
         words = [w for n in names for w in list(self.words[n])[1:]]
         lang = np.repeat(np.arange(len(names), dtype=np.int32),
                          [len(self.words[n]) - 1 for n in names])
-        return _record([run], starts=[np.concatenate(starts).tobytes()],
-                       items=[items.tobytes()], langs=[names],
+        return _record(run, np.concatenate(starts), items,
+                       langs=pa.array([names], pa.list_(pa.string())),
                        words=_one_list(pa.array(words, pa.binary()).cast(pa.string())),
                        lang=_one_list(pa.array(lang)),
                        counts=_one_list(pa.array(np.bincount(items, minlength=len(words)))))
@@ -101,19 +104,29 @@ def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _record(run: list[int], **columns) -> pa.RecordBatch:
-    arrays = {"run": pa.array(run, pa.int64())} | {
-        n: c if isinstance(c, pa.Array) else
-        pa.array(c, pa.binary() if n in ("starts", "items") else None)
-        for n, c in columns.items()}
-    return pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
+def _record(run: int, starts: np.ndarray, items: np.ndarray, **lists: pa.Array
+            ) -> pa.RecordBatch:
+    """A run's row: its sorted relation, compressed, and lists about its groups."""
+    packed = [pa.array([pa.compress(np.ascontiguousarray(c, "<i4"), "zstd", asbytes=True)],
+                       pa.binary()) for c in (np.diff(starts, prepend=0), items)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([run], pa.int64()), pa.array([len(items)], pa.int32()), *packed,
+         *lists.values()], ["run", "n", "steps", "items", *lists])
+
+
+def _relation(row: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and items of a run's row."""
+    size = 4 * row.column("n")[0].as_py()
+    steps, items = (np.frombuffer(pa.decompress(row.column(name)[0].as_buffer(), size, "zstd"),
+                                  dtype="<i4") for name in ("steps", "items"))
+    return np.cumsum(steps), items
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """R1 in runs: sorted positions and items, and the run's words with their counts."""
     def work(batches):
         context = TaskContext.get()
-        number, run = (context.partitionId() if context else 0) << 32, _Run()
+        number, run = (context.partitionId() if context else 0) * TASK_RUNS, _Run()
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -152,12 +165,12 @@ def adjacent(starts: np.ndarray, items: np.ndarray, keep: np.ndarray
 
 def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     """One run's relation of the next level, with its distinct groups and counts."""
-    out = pa.schema([("run", pa.int64()), ("starts", pa.binary()), ("items", pa.binary()),
+    out = pa.schema([("run", pa.int64()), ("n", pa.int32()), ("steps", pa.binary()),
+                     ("items", pa.binary()),
                      *[(n, pa.list_(pa.int64())) for n in ("lefts", "rights", "counts")]])
     if not relation.num_rows or not frequent.num_rows:
         return out.empty_table()
-    starts, items = (np.frombuffer(relation.column(n)[0].as_buffer(), dtype="<i4")
-                     for n in ("starts", "items"))
+    starts, items = _relation(relation)
     code, found = frequent.column("code").to_numpy(), frequent.column("id").to_numpy()
     keep = np.full(int(items.max()) + 1, -1, dtype=np.int64)
     keep[code] = np.arange(len(code))
@@ -166,29 +179,24 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         return out.empty_table()
     pairs, again, counts = np.unique(left * len(code) + right, return_inverse=True,
                                      return_counts=True)
-    row = _record([relation.column("run")[0].as_py()], starts=[at.tobytes()],
-                  items=[again.astype("<i4").tobytes()],
+    row = _record(relation.column("run")[0].as_py(), at, again,
                   lefts=_one_list(pa.array(found[pairs // len(code)])),
                   rights=_one_list(pa.array(found[pairs % len(code)])),
                   counts=_one_list(pa.array(counts.astype(np.int64))))
     return pa.Table.from_batches([row]).cast(out)
 
 
-def _counted(local: DataFrame, keys: list[str], min_count: int, name: str
-             ) -> tuple[DataFrame, str]:
-    """Groups met often enough over all runs, each with an id."""
-    groups = local.groupBy(*keys).agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    return materialise_at(groups.select(F.monotonically_increasing_id().alias("id"), *keys, "f"),
-                          name)
-
+def frequent_groups(local: DataFrame, keys: list[str], min_count: int) -> DataFrame:
+    """Every run's frequent groups: run, code, keys, f over all runs, and the group's id.
 
-def _next_level(spark, relation: DataFrame, local: DataFrame, frequent: DataFrame,
-                keys: list[str]) -> tuple[DataFrame, str]:
-    known = local.join(frequent.select("id", *keys), keys).select(
-        F.col("run").alias("of_run"), "code", "id")
-    joined = (relation.select("run", "starts", "items").groupBy("run")
-              .cogroup(known.groupBy("of_run")).applyInArrow(_extend, GROUPS))
-    return materialise_at(joined, "setm-relation")
+    ``local`` has one row for each run and distinct group, so a window over a group holds
+    at most one short row for each run.
+    """
+    same = Window.partitionBy(*keys)
+    place = F.col("run") * F.lit(CODES) + F.col("code")
+    return (local.select("run", "code", *keys, F.sum("n").over(same).alias("f"),
+                         F.min(place).over(same).alias("id"))
+            .filter(F.col("f") >= min_count))
 
 
 def mine(docs: DataFrame, words: int = WORDS, min_count: int = MIN_COUNT
@@ -199,35 +207,46 @@ def mine(docs: DataFrame, words: int = WORDS, min_count: int = MIN_COUNT
     heads[i] and tails[i] are the counts of the first and of the last i + 1 words. From
     two words on, left and right are the ids of all but the last and all but the first.
     """
-    spark, paths = docs.sparkSession, []
+    paths = []
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        found, path = materialise_at(frame, f"setm-{name}")
+        paths.append(path)
+        return found
+
     relation, at = materialise_at(occurrences(docs), "setm-relation")
     local = relation.select("run", F.posexplode(F.arrays_zip("words", "lang", "counts"))
                             .alias("code", "g"), "langs").select(
         "run", "code", F.element_at("langs", F.col("g.lang") + 1).alias("lang"),
         F.col("g.words").alias("word"), F.col("g.counts").alias("n"))
-    sizes, path = materialise_at(local.groupBy("lang").agg(F.sum("n").alias("n")), "setm-n")
-    paths.append(path)
+    sizes = kept(local.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     keys, levels = ["lang", "word"], []
     for size in range(1, words + 1):
-        frequent, path = _counted(local, keys, min_count, f"setm-count-{size}")
-        paths.append(path)
-        if size == 1:
-            level = frequent.select("id", "lang", F.array("word").alias("phrase"), "f",
-                                    F.array("f").alias("heads"), F.array("f").alias("tails"))
-        else:
-            level, path = materialise_at(_described(frequent, levels[-1]), f"setm-level-{size}")
-            paths.append(path)
-        levels.append(level)
         if size < words:
-            following, after = _next_level(spark, relation, local, frequent, keys)
-            drop_path(spark, at)
-            relation, at = following, after
-            local = relation.select("run", F.posexplode(F.arrays_zip("lefts", "rights", "counts"))
-                                    .alias("code", "g")).select(
-                "run", "code", F.col("g.lefts").alias("left"), F.col("g.rights").alias("right"),
-                F.col("g.counts").alias("n"))
-            keys = ["left", "right"]
-    drop_path(spark, at)
+            groups, held = materialise_at(frequent_groups(local, keys, min_count), "setm-groups")
+            first = F.col("id") == F.col("run") * F.lit(CODES) + F.col("code")
+            counted = groups.filter(first).select("id", *keys, "f")
+        else:
+            counted = local.groupBy(*keys).agg(F.sum("n").alias("f")).filter(
+                F.col("f") >= min_count).select(F.lit(None).cast("long").alias("id"), *keys, "f")
+        levels.append(kept(_described(counted, levels[-1]) if size > 1 else counted.select(
+            "id", "lang", F.array("word").alias("phrase"), "f", F.array("f").alias("heads"),
+            F.array("f").alias("tails")), f"level-{size}"))
+        if size == words:
+            break
+        known = groups.select(F.col("run").alias("of_run"), "code", "id")
+        following, after = materialise_at(
+            relation.select("run", "n", "steps", "items").groupBy("run")
+            .cogroup(known.groupBy("of_run")).applyInArrow(_extend, GROUPS), "setm-relation")
+        drop_path(docs.sparkSession, at)
+        drop_path(docs.sparkSession, held)
+        relation, at = following, after
+        local = relation.select("run", F.posexplode(F.arrays_zip("lefts", "rights", "counts"))
+                                .alias("code", "g")).select(
+            "run", "code", F.col("g.lefts").alias("left"), F.col("g.rights").alias("right"),
+            F.col("g.counts").alias("n"))
+        keys = ["left", "right"]
+    drop_path(docs.sparkSession, at)
     return levels, sizes, paths
 
 
