@@ -8,6 +8,10 @@ takes block r mod (number of blocks). So each stretch of the schedule holds the
 sources in their target proportions, and a source is read through once before any
 of its blocks comes again. A source's last slot is cut where its target is met.
 
+What a document gives to each slot (``slot_pieces``) is the result: ``taken`` sums those
+pieces, and the mix itself is written in the order of its slots, every stretch of
+``STRETCH`` slots in one partition. So a prefix of the mix has the targets' proportions.
+
 Targets: the mix holds ``share`` times all words; sources weigh ``weights`` in
 turn, by code point with null last; no target exceeds ``most`` times its source,
 and what is above is shared among the others by weight until none is above.
@@ -19,12 +23,14 @@ whose word counts are summed first, and slots are ranked within chunks of 65536,
 so a source with a third of all rows is never one task's.
 
 Null and blank texts have size 0 and are never taken. Equal ids are told apart by
-text; rows equal in both lie next to each other. Null ids are shuffled as one id.
+text; rows equal in both lie next to each other. Null ids are shuffled by text.
 Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,6 +44,7 @@ SEED = 7
 MAX_SOURCES = 100_000
 CHUNK = 1 << 16
 GOLDEN = (5 ** 0.5 - 1) / 2
+STRETCH = 1024
 
 
 def targets(sizes: list[int], share: float = SHARE, weights: tuple = WEIGHTS,
@@ -142,11 +149,24 @@ def plan_table(spark, plan: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(p.values()) for p in plan], kinds)
 
 
-def mix(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, most: float = MOST,
-        block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """Per document: doc_id, text_key, source, size, source_size, target, taken."""
+WHO = ["doc_id", "text_key", "source", "size", "source_size", "target"]
+PIECES = ("doc_id long, text_key long, source string, size long, source_size long, "
+          "target double, s int, start long, slot long, pass long, words long")
+
+
+def slot_pieces(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS,
+                most: float = MOST, block_words: int = BLOCK_WORDS,
+                seed: int = SEED) -> DataFrame:
+    """What every document gives to the slots of the schedule.
+
+    One row per document, block and slot: the document (``start`` is its place in its
+    source's stream), the slot, which pass through the source the slot belongs to, and
+    the words that the slot takes of the document. A document that no slot takes has one
+    row with null slots.
+    """
     spark = docs.sparkSession
-    shuffle = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+    shuffle = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"),
+                                        F.concat(F.lit("null "), F.xxhash64("text"))),
                              F.lit(f":{seed}")))
     sized = fixed(docs.select(
         "doc_id", "source", F.xxhash64("text").alias("text_key"), shuffle.alias("place"),
@@ -154,9 +174,7 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, most: f
         .cast("long").alias("size")))
     plan = recipe(sized, share, weights, most, block_words)
     if not plan:
-        return sized.select("doc_id", "text_key", "source", "size",
-                            F.lit(0).cast("long").alias("source_size"),
-                            F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
+        return spark.createDataFrame([], PIECES)
     parts = plan_table(spark, plan)
     part = F.substring("place", 1, 3)
     ranges = (sized.groupBy("source", part.alias("range")).agg(F.sum("size").alias("words"))
@@ -177,11 +195,11 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, most: f
             .withColumn("start", F.expr("end - size"))
             .withColumn("small", F.expr("source_size div blocks"))
             .withColumn("longer", F.expr("source_size % blocks")))
-    # slots of each block; the slot that meets the target ends at ``rest``
-    times = (schedule(spark, plan).join(parts.select("s", "blocks", "slots", "rest"), "s")
-             .groupBy("s", F.expr("rank % blocks").alias("block"))
-             .agg(F.count("*").alias("times"),
-                  F.sum(F.expr("if(rest > 0 and rank = slots - 1, 1, 0)")).alias("cut")))
+    # a block's slots; the slot that meets the target ends at ``rest``
+    slots = schedule(spark, plan).join(parts.select("s", "blocks", "slots", "rest"), "s").select(
+        "s", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("pass"),
+        F.col("n").alias("slot"),
+        F.expr("if(rest > 0 and rank = slots - 1, rest, null)").alias("stop"))
 
     def block(word: str) -> str:
         return (f"if({word} < longer * (small + 1), {word} div (small + 1), "
@@ -192,13 +210,31 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, most: f
               .withColumn("lo", F.expr("greatest(start, block * small + least(block, longer))"))
               .withColumn("hi", F.expr(
                   "least(end, (block + 1) * small + least(block + 1, longer))")))
-    who = ["doc_id", "text_key", "source", "size", "source_size", "target"]
-    taken = (pieces.join(times, ["s", "block"], "left")
-             .groupBy(*who, "s", "start")
-             .agg(F.sum(F.expr("coalesce((times - cut) * (hi - lo) + "
-                               "cut * greatest(least(hi, rest) - lo, 0), 0)")).alias("taken")))
-    none = laid.filter("size = 0").select(*who, F.lit(0).cast("long").alias("taken"))
-    return taken.select(*who, "taken").unionByName(none)
+    given = pieces.join(slots, ["s", "block"], "left").select(
+        *WHO, "s", "start", "slot", "pass",
+        F.expr("if(slot is null, 0, greatest(least(hi, coalesce(stop, hi)) - lo, 0))")
+        .alias("words"))
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    return given.unionByName(laid.filter("size = 0").select(
+        *WHO, "s", "start", none.alias("slot"), none.alias("pass"), zero.alias("words")))
+
+
+def mix(docs: DataFrame, most: float = MOST, **options) -> DataFrame:
+    """Per document: doc_id, text_key, source, size, source_size, target, taken, slots.
+
+    ``taken`` sums the document's pieces in all slots; ``slots`` holds the first slot
+    that takes some of it in every pass through its source, null where none does.
+    """
+    passes = [F.min(F.when((F.col("pass") == p) & (F.col("words") > 0), F.col("slot")))
+              for p in range(math.ceil(most) + 1)]
+    found = slot_pieces(docs, most=most, **options)
+    taken = (found.filter("size > 0").groupBy(*WHO, "s", "start")
+             .agg(F.sum("words").alias("taken"), F.array(*passes).alias("slots"))
+             .drop("s", "start"))
+    # blank texts take no room in the stream, so equal ones are not told apart there
+    return taken.unionByName(found.filter("size = 0").select(
+        *WHO, F.col("words").alias("taken"),
+        F.array(*[F.col("slot") for _ in passes]).alias("slots")))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -208,7 +244,8 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself, with all columns: a document stands once for every time it is taken.
+    """The mix itself, with all columns: a document stands once for every time it is taken,
+    in the schedule's order inside a partition.
 
     The last, partial time holds the first words of the document. ``n_chars``, where
     the input has it, follows the text. Rows equal in id, source and text share their
@@ -216,16 +253,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     key = ["doc_id", "source", "text_key"]
     found = mix(docs, **options).groupBy(*key).agg(
-        F.max("size").alias("size"),
+        F.max("size").alias("size"), F.min("slots").alias("slots"),
         F.expr("sum(taken) div count(*)").alias("taken")).filter("taken > 0")
     rows = with_row(docs, F.col("doc_id").alias("d"), F.col("source").alias("o"),
                     F.xxhash64("text").alias("t"))
     same = (F.col("d").eqNullSafe(F.col("doc_id")) & F.col("o").eqNullSafe(F.col("source"))
             & (F.col("t") == F.col("text_key")))
     out = (rows.join(found, same)
-           .withColumn("words", F.explode(F.expr(
+           .select("*", F.posexplode(F.expr(
                "concat(array_repeat(size, cast(taken div size as int)), "
-               "if(taken % size > 0, array(taken % size), array()))"))))
+               "if(taken % size > 0, array(taken % size), array()))")).alias("time", "words"))
+           .withColumn("slot", F.expr("coalesce(get(slots, time), array_max(slots))"))
+           .withColumn("stretch", F.expr(f"slot div {STRETCH}"))
+           .repartition("stretch").sortWithinPartitions("stretch", "slot", "doc_id", "text_key"))
     head = F.expr("if(words = size, row.text, array_join(slice(regexp_extract_all("
                   f"row.text, '({WORD_PATTERN})', 1), 1, cast(words as int)), ' '))"
                   .replace("\\", "\\\\"))
