@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -111,13 +112,17 @@ class WordBpe:
                 ids[place].append(token)
         return ids
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words not seen before, fragment by fragment, and remember them."""
+    def ids_of_words(self, words: list[str]) -> Iterator[list[int]]:
+        """Ids of every word, fragment by fragment."""
         cut = self.fragments(words)
         body = iter(self.encoded(self.inside, [p for parts in cut for p in parts[:-1]]))
-        ends = self.encoded(self.final, [parts[-1] for parts in cut])
-        for word, parts, end in zip(words, cut, ends, strict=True):
-            ids = [i for _ in parts[1:] for i in next(body)] + end
+        for parts, end in zip(cut, self.encoded(self.final, [parts[-1] for parts in cut]),
+                              strict=True):
+            yield [i for _ in parts[1:] for i in next(body)] + end
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words not seen before and remember them."""
+        for word, ids in zip(words, self.ids_of_words(words), strict=True):
             self.cache[word] = len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def words(self, text: str) -> list[str]:
@@ -160,6 +165,47 @@ class WordBpe:
         return " ".join([self.names[i] for i in ids])
 
 
+class WordIds:
+    """Id arrays of texts, gathered from flat arrays of the ids of words seen before."""
+
+    def __init__(self, bpe: WordBpe):
+        self.bpe = bpe
+        self.forget()
+
+    def forget(self) -> None:
+        special = self.bpe.special
+        self.code = {word: i for i, word in enumerate(special)}
+        self.flat = np.array(list(special.values()), dtype=np.int32)
+        self.count = np.ones(len(special), dtype=np.int64)
+        self.first = np.arange(len(special))
+
+    def learn(self, words: list[str]) -> None:
+        found = list(self.bpe.ids_of_words(words))
+        count = np.array([len(f) for f in found], dtype=np.int64)
+        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words)),
+                             strict=True))
+        self.first = np.r_[self.first, len(self.flat) + np.cumsum(count) - count]
+        self.count = np.r_[self.count, count]
+        self.flat = np.r_[self.flat, np.array([i for f in found for i in f], dtype=np.int32)]
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for piece in pieces(texts):
+            found = [self.bpe.words(t) for t in piece]
+            new = set().union(*found).difference(self.code)
+            if len(self.code) + len(new) > self.bpe.cache_words:
+                self.forget()
+                new = set().union(*found).difference(self.code)
+            if new:
+                self.learn(sorted(new))
+            for words in found:
+                code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+                count = self.count[code]
+                upto = np.cumsum(count)
+                total = int(upto[-1]) if len(upto) else 0
+                yield self.flat[np.repeat(self.first[code] - upto + count, count)
+                                + np.arange(total)]
+
+
 def pieces(texts: list[str]) -> Iterator[list[str]]:
     """Consecutive texts of about ``PIECE_CHARS`` characters together."""
     piece, size = [], 0

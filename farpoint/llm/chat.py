@@ -10,14 +10,16 @@ numbers and, where numbers repeat, at most ``segment_turns`` turns each. So one
 endless conversation is many rows and no task holds it whole. Participants are
 those of the whole conversation, also in segments where they are silent.
 
-``perspectives`` cuts by turn number, as op2's SQL does. ``dialogues`` cuts by position in
-the conversation, whatever its numbers: every segment but the last has ``segment_turns``
+``dialogues`` (op2) cuts by position in the conversation, whatever its numbers;
+``perspectives`` by turn number. By position, every segment but the last has ``segment_turns``
 turns, later ones open with the system turns of the first again (the frame; no more than
 ``segment_turns``), and tell where they stand in the whole rendering.
 
 Turns go by (turn, role, text), a null turn last; turns that tie or repeat are all
 kept. A null role is the participant ``unknown``; a null text is empty. Turns with a
-null conv_id are one conversation. A conversation of system turns only, like an
+null conv_id are one conversation. Text cannot forge a mark: ``<|`` in a turn becomes
+``<\\|`` (one backslash more for each that is there, so it can be undone), ``|`` in a role
+``\\|``. A conversation of system turns only, like an
 empty table, gives no rows. Other columns of the input are ignored.
 """
 
@@ -54,8 +56,9 @@ def said_turns(turns: DataFrame, segment_turns: int) -> DataFrame:
     return turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.coalesce("turn", F.lit(LAST_ID)).alias("turn"),
-        F.coalesce("role", F.lit("unknown")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        F.replace(F.coalesce("role", F.lit("unknown")), F.lit("|"), F.lit("\\|")).alias("role"),
+        F.regexp_replace(F.coalesce("text", F.lit("")), r"<(\\*)\|", r"<$1\\|")
+        .alias("text")).withColumn(
             "block", F.expr(f"turn div {segment_turns}"))
 
 

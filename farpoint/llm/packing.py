@@ -11,7 +11,10 @@ window's last rows are partly empty. Rows hold the ids in the smallest
 unsigned type that fits the vocabulary, padded with zeros; cumulative segment
 lengths tell padding from ids, and every segment's start resets the position.
 
-The default ids are the text's UTF-8 bytes (a vocabulary of 256). Null and empty
+The default ids are those of the public word-level vocabulary, tokenised here;
+``byte_ids`` takes the text's UTF-8 bytes instead (a vocabulary of 256). A row's number
+holds its task and its number in the task: unique, and the same again only for an input
+that is split alike. Null and empty
 texts have no ids: each gives an empty piece, in a row of its own window, so no
 document is lost. Rows that repeat a document are packed as often as they occur.
 Empty tables give no rows.
@@ -19,28 +22,32 @@ Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import kept_in_worker, texts_of
+
 ROW_TOKENS = 8192
 WINDOW_TOKENS = 1 << 22
 WORD_VOCABULARY = 49408
 
 
-def byte_ids() -> Callable[[str], np.ndarray]:
-    """The default encoder: a text's UTF-8 bytes."""
-    return lambda text: np.frombuffer(text.encode(), dtype=np.uint8)
+Encoder = Callable[[list[str]], Iterable[np.ndarray]]
+
+
+def byte_ids() -> Encoder:
+    """Encoder of texts as their UTF-8 bytes; use with a vocabulary of 256."""
+    return lambda texts: (np.frombuffer(t.encode(), dtype=np.uint8) for t in texts)
 
 
-def word_ids() -> Callable[[str], np.ndarray]:
-    """Encoder for the public word-level vocabulary; use with ``WORD_VOCABULARY``."""
-    from .bpe import WordBpe, vocabulary_text
-    bpe = WordBpe(vocabulary_text())
-    return lambda text: np.array(bpe.ids(text), dtype=np.uint16)
+def word_ids() -> Encoder:
+    """The default encoder: ids of the public word-level vocabulary (``WORD_VOCABULARY``)."""
+    from .bpe import WordBpe, WordIds, vocabulary_text
+    return kept_in_worker(("word-ids",), lambda: WordIds(WordBpe(vocabulary_text())))
 
 
 class Rooms:
@@ -106,8 +113,8 @@ PACKED = ("row_id long, ids binary, n_tokens int, cu_seqlens array<int>, "
 
 
 def pack(docs: DataFrame, row_tokens: int = ROW_TOKENS, window_tokens: int = WINDOW_TOKENS,
-         encoder: Callable[[], Callable[[str], np.ndarray]] = byte_ids,
-         vocabulary: int = 256) -> DataFrame:
+         encoder: Callable[[], Encoder] = word_ids,
+         vocabulary: int = WORD_VOCABULARY) -> DataFrame:
     """One row per packed matrix row: ids, segment ends, position resets and origins."""
     kind = np.dtype("<u1" if vocabulary <= 1 << 8 else "<u2" if vocabulary <= 1 << 16 else "<u4")
 
@@ -116,9 +123,9 @@ def pack(docs: DataFrame, row_tokens: int = ROW_TOKENS, window_tokens: int = WIN
         base, made = TaskContext.get().partitionId() << 32, 0
         window, held = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(),
-                                 batch.column("text"), strict=True):
-                ids = encode(text.as_py() or "").astype(kind, copy=False)
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)),
+                                strict=True):
+                ids = ids.astype(kind, copy=False)
                 cuts = range(0, max(len(ids), 1), row_tokens)
                 window += [(doc, n, ids[a:a + row_tokens]) for n, a in enumerate(cuts)]
                 held += len(ids) + 1

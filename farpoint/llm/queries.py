@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .alignment import align_report
 from .bpe import encode_digest
-from .chat import dialogues, perspectives
+from .chat import dialogues
 from .collocations import collocations
 from .common import table
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .line_dedup import LONG_WORDS, line_report
 from .mixing import mix_report
-from .packing import WORD_VOCABULARY, word_ids, write_packed
+from .packing import WORD_VOCABULARY, byte_ids, word_ids, write_packed
 from .quality_model import classify
 from .quality_rules import judge
 from .simhash_dedup import simhash_report
@@ -37,49 +37,24 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation rendered from each participant's point of view."""
-    return perspectives(table(spark, sf_dir, "conversations"))
-
-
-ORACLE_SQL["op2_chat_format"] = """
-WITH said AS (
-  SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn,
-         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         coalesce(turn, 9223372036854775807) // 256 AS block FROM conversations),
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, role, text) AS n
-  FROM said),
-view AS (
-  SELECT s.conv_id, s.block, (s.n - 1) // 256 AS part, p.role AS perspective, s.n, s.text,
-         s.role = p.role AS own,
-         CASE WHEN s.role = p.role THEN '<|assistant|>' WHEN s.role = 'system' THEN '<|system|>'
-              ELSE '<|user:' || s.role || '|>' END || chr(10) AS head
-  FROM numbered s JOIN (SELECT DISTINCT conv_id, role FROM said WHERE role <> 'system') p
-    ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
-placed AS (
-  SELECT *, CAST(sum(length(head) + length(text) + 8) OVER (
-    PARTITION BY conv_id, block, part, perspective ORDER BY n) AS BIGINT) AS upto FROM view)
-SELECT conv_id, block, part, perspective,
-       string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY n) AS rendered,
-       coalesce(string_agg((upto - length(text) - 8) || '-' || upto, ',' ORDER BY n)
-                FILTER (own), '') AS mask,
-       count(*) AS n_turns, count(*) FILTER (own) AS n_own
-FROM placed GROUP BY conv_id, block, part, perspective
-"""
+    """Every conversation rendered from each participant's point of view, cut by position."""
+    return dialogues(table(spark, sf_dir, "conversations"))
 
 
 @query
 def op2_chat_format_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op2_chat_format cut by position, with the system turns and the place in the whole."""
+    """The name that op2_chat_format's cut by position had before it took that over."""
     return dialogues(table(spark, sf_dir, "conversations"))
 
 
 ORACLE_SQL["op2_chat_format_by_position"] = """
 WITH numbered AS (
-  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, 9223372036854775807),
-                            coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS n
-  FROM conversations),
+  SELECT conv_id, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS n
+  FROM (SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn,
+               replace(coalesce(role, 'unknown'), '|', '\\|') AS role,
+               regexp_replace(coalesce(text, ''), '<(\\\\*)[|]', '<\\1\\\\|', 'g') AS text
+        FROM conversations)),
 shown AS (
   SELECT *, n // 256 AS segment, false AS framed FROM numbered
   UNION ALL
@@ -111,6 +86,7 @@ SELECT conv_id, segment, perspective, first_turn,
          AS "offset", frame_chars, rendered, mask, n_turns, n_own
 FROM piece
 """
+ORACLE_SQL["op2_chat_format"] = ORACLE_SQL["op2_chat_format_by_position"]
 
 
 @query
@@ -270,18 +246,26 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed rows of all documents' byte ids, written and read again, with a digest of the ids."""
+    """Packed rows of all documents' token ids, written and read again, with a digest of the ids."""
     return digests(write_packed(table(spark, sf_dir, "documents"), scratch_path(spark, "packed")))
 
 
 @query
 def op10_token_packing_word_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op10_token_packing of the public vocabulary's token ids, tokenised here."""
+    """The name that op10_token_packing over token ids had before it took that over."""
     return digests(write_packed(table(spark, sf_dir, "documents"),
                                 scratch_path(spark, "packed-words"),
                                 encoder=word_ids, vocabulary=WORD_VOCABULARY))
 
 
+@query
+def op10_token_packing_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10_token_packing over the texts' bytes as ids."""
+    return digests(write_packed(table(spark, sf_dir, "documents"),
+                                scratch_path(spark, "packed-bytes"),
+                                encoder=byte_ids, vocabulary=256))
+
+
 @query
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of two and three words of every language."""
