@@ -63,9 +63,9 @@ def brute(text, sides):
     return links, digest, len(ids[0]), len(ids[1]), len(groups)
 
 
-@pytest.mark.parametrize("run_bytes,piece_bytes,size,cache", [
-    (op.RUN_BYTES, op.PIECE_BYTES, op.SLICE, op.CACHE_CHUNKS), (3000, 700, 23, 40)])
-def test_report_equals_brute_force(spark, sides, monkeypatch, run_bytes, piece_bytes, size, cache):
+@pytest.mark.parametrize("run_bytes,piece_bytes,size", [
+    (op.RUN_BYTES, op.PIECE_BYTES, op.SLICE), (3000, 700, 23)])
+def test_report_equals_brute_force(spark, sides, monkeypatch, run_bytes, piece_bytes, size):
     monkeypatch.setattr(op, "RUN_BYTES", run_bytes)
     monkeypatch.setattr(op, "PIECE_BYTES", piece_bytes)
     monkeypatch.setattr(op, "SLICE", size)
