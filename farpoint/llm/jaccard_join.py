@@ -20,14 +20,15 @@ Joining regions. All distances to pivots are exact.
    their own. By the triangle inequality, a set linked to one whose nearest pivot is a is
    at most 2r nearer to b than to a: sets in that window are replicated to both cells.
    Sets beyond ``REACH`` of both pivots are a third cell, with a window of r. A region
-   that its pivots hardly split goes on undivided, without them.
-3. Cells are joined recursively in the same way until they are one component, or of
-   ``LEAF`` sets or fewer. Those are joined by comparing sets in one task, which skips
-   sets already in one component and returns joining links only.
+   that its pivots hardly split (sets that are all about equally far from each other) is
+   dealt to blocks, and every two blocks make up a region.
+3. Cells are joined recursively in the same way until they are one component, or hold at
+   most ``LEAF`` sets and ``LEAF_GRAMS`` shingles. Such a region is joined in one task: sets
+   outside its largest component are compared with all, and joining links returned.
 
-So pairs compared grow with pivots and not with the square of a region: a region of any
-size sends one row for each node and pivot. Texts are read again for the sets of nodes
-that share a region; other sets never leave their task.
+A region of any size sends one row for each node and pivot, and one for each node and
+block if it can't be split otherwise: no pair is listed. Texts are read again for the sets
+of nodes that share a region; other sets never leave their task.
 
 Shingles are compared by 64-bit hashes, nodes by 64-bit hashes of whole sets with a
 second hash as check: if two sets ever share the first, all is hashed anew with another
@@ -54,7 +55,8 @@ from .common import LAST_ID, LOWER, UPPER, kept_in_worker, per_batch
 from .components import components
 
 SHINGLE, PERCENT = 3, 90
-LEAF, REACH, GROWTH = 64, 0.5, 1.25
+LEAF, REACH, GROWTH = 2048, 0.5, 1.25
+LEAF_GRAMS, COLUMNS = 1 << 22, 2048
 CACHE_WORDS = 300_000
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _K = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
@@ -203,40 +205,68 @@ def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(open_, "region", "leftsemi")
 
 
-def distinct_regions(members: DataFrame) -> DataFrame:
-    """(region, size, a, b): one of each kind of regions that hold the same nodes."""
-    held = members.groupBy("region").agg(
-        F.count("*").alias("size"), F.min("node").alias("a"), F.max("node").alias("b"),
-        F.bit_xor(F.xxhash64("node")).alias("content"))
-    return held.groupBy("size", "a", "b", "content").agg(F.min("region").alias("region")).drop(
-        "content")
+def distinct_regions(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(region, size, grams, a, b): one of each kind of regions that hold the same nodes."""
+    held = members.join(sizes, "node").groupBy("region").agg(
+        F.count("*").alias("size"), F.sum("n").alias("grams"), F.min("node").alias("a"),
+        F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("content"))
+    return held.groupBy("size", "grams", "a", "b", "content").agg(
+        F.min("region").alias("region")).drop("content")
+
+
+def common_shingles(some: np.ndarray, grams: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of ``some`` of the sets with all of them, by products of
+    0/1 matrices over the shingles that two sets or more hold."""
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    _, column, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    kept = np.flatnonzero(times[column] > 1)
+    number = np.cumsum(times > 1) - 1
+    owner, column = owner[kept], number[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(some), len(grams)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, (start, start + COLUMNS))
+        holds = np.zeros((len(grams), COLUMNS), dtype=np.float32)
+        holds[owner[low:high], column[low:high] - start] = 1
+        out += holds[some] @ holds.T
+    return out.astype(np.int64)
+
+
+def joining_links(nodes: np.ndarray, labels: np.ndarray, grams: list[np.ndarray],
+                  percent: int) -> list[tuple[int, int]]:
+    """Links between components, as few as join all that any link joins."""
+    _, label, times = np.unique(labels, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(label != times.argmax())
+    size = np.array([len(g) for g in grams])
+    common = common_shingles(some, grams)
+    union = size[some][:, None] + size[None, :] - common
+    x, y = np.nonzero((100 * common >= percent * union) & (label[some][:, None] != label[None, :]))
+    x = some[x]
+    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    _, first = np.unique(low * len(times) + high, return_index=True)
+    top, out = list(range(len(times))), []
+
+    def find(i):
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+    for i in first.tolist():
+        a, b = find(int(label[x[i]])), find(int(label[y[i]]))
+        if a != b:
+            top[a] = b
+            out.append((int(nodes[x[i]]), int(nodes[y[i]])))
+    return out
 
 
 def leaf_links(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that join components inside small regions, by comparing their sets."""
     def join(rows: pa.Table) -> pa.Table:
-        nodes = rows.column("node").to_numpy()
-        found = [g.values.to_numpy() for g in rows.column("grams")]
-        parent = {x: x for x in rows.column("label").to_pylist()}
-
-        def top(x):
-            while parent[x] != x:
-                x = parent[x]
-            return x
-        label, out = rows.column("label").to_pylist(), []
-        order = sorted(range(len(nodes)), key=lambda i: len(found[i]))
-        for i, x in enumerate(order):
-            for y in order[i + 1:]:
-                if 100 * len(found[x]) < percent * len(found[y]):
-                    break
-                if top(label[x]) == top(label[y]):
-                    continue
-                common = len(np.intersect1d(found[x], found[y], assume_unique=True))
-                if 100 * common >= percent * (len(found[x]) + len(found[y]) - common):
-                    parent[top(label[x])] = top(label[y])
-                    out.append((nodes[x], nodes[y]))
-        return pa.table({"node": pa.array([a for a, _ in out], pa.int64()),
-                         "pivot": pa.array([b for _, b in out], pa.int64())})
+        found = joining_links(rows.column("node").to_numpy(), rows.column("label").to_numpy(),
+                              [g.values.to_numpy() for g in rows.column("grams")], percent)
+        return pa.table({"node": pa.array([a for a, _ in found], pa.int64()),
+                         "pivot": pa.array([b for _, b in found], pa.int64())})
     return (leaves.join(sets, "node").groupBy("region")
             .applyInArrow(join, "node long, pivot long"))
 
@@ -255,17 +285,22 @@ def cells(members: DataFrame, pivots: DataFrame, far: DataFrame, percent: int,
         F.when((gap <= 2 * r + slack) & (F.col("to_a") <= REACH + slack), 0),
         F.when((-gap <= 2 * r + slack) & (F.col("to_b") <= REACH + slack), 1),
         F.when(F.least("to_a", "to_b") > REACH - r - slack, 2)), lambda c: c.isNotNull())
-    dealt, at = materialise_at(rest.select("region", "node", choice.alias("cells")), "cells")
+    dealt, at = materialise_at(rest.select("region", "node", "blocks", choice.alias("cells")),
+                               "cells")
     split = dealt.groupBy("region").agg(
         (F.sum(F.size("cells")) <= GROWTH * F.count("*")).alias("splits"))
+    # a node of block x goes to the region of every pair of blocks that x is part of
+    block = F.pmod(F.xxhash64("node", F.lit(level)), F.col("blocks"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda other: (
+        F.least(block, other) * F.col("blocks") + F.greatest(block, other) + 3))
     return dealt.join(split, "region").select(
-        F.explode(F.when(F.col("splits"), F.col("cells")).otherwise(F.array(F.lit(3)))).alias("c"),
-        "region", "node").select(
+        F.explode(F.when(F.col("splits"), F.col("cells").cast("array<long>")).otherwise(pairs))
+        .alias("c"), "region", "node").select(
         F.xxhash64("region", F.lit(level), "c").alias("region"), "node"), at
 
 
 def jaccard_links(docs: DataFrame, marked: DataFrame, shingle: int, percent: int, seed: int,
-                  leaf: int = LEAF) -> DataFrame:
+                  leaf: int = LEAF, leaf_grams: int = LEAF_GRAMS) -> DataFrame:
     """(node, component) of every node that is linked to another one."""
     spark, scratch = docs.sparkSession, []
 
@@ -279,6 +314,7 @@ def jaccard_links(docs: DataFrame, marked: DataFrame, shingle: int, percent: int
               .filter("pivot != last").select("region", "pivot"))
     members = kept(dealt.join(shared, "region").distinct(), "regions")
     sets = kept(sets_of(docs, marked, members.select("node").distinct(), shingle, seed), "sets")
+    sizes = sets.select("node", F.size("grams").alias("n"))
     first = members.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot != node")
     links = [kept(measured(first, sets, percent).filter("linked").select("node", "pivot"),
                   "links")]
@@ -292,9 +328,12 @@ def jaccard_links(docs: DataFrame, marked: DataFrame, shingle: int, percent: int
         rest = kept(unsettled(members, found), "open-regions")
         if rest.isEmpty():
             break
-        pivots = kept(distinct_regions(rest), "pivots")
-        small = pivots.filter(F.col("size") <= leaf).select("region")
-        large = pivots.filter(F.col("size") > leaf)
+        regions = kept(distinct_regions(rest, sizes), "pivots")
+        fits = (F.col("size") <= leaf) & (F.col("grams") <= leaf_grams)
+        small = regions.filter(fits).select("region")
+        # two blocks fill half a leaf
+        large = regions.filter(~fits).select("region", "a", "b", F.ceil(F.greatest(
+            F.col("size") / (leaf / 4), F.col("grams") / (leaf_grams / 4))).alias("blocks"))
         links.append(kept(leaf_links(rest.join(small, "region", "leftsemi"), sets, percent),
                           "links"))
         if large.isEmpty():
@@ -306,8 +345,7 @@ def jaccard_links(docs: DataFrame, marked: DataFrame, shingle: int, percent: int
         far = kept(measured(pairs, sets, percent), "pivot-distances")
         links.append(far.filter("linked").select("node", "pivot"))
         found = labels()
-        members, at = cells(rest.select("region", "node"), large.select("region", "a", "b"), far,
-                            percent, level)
+        members, at = cells(rest.select("region", "node"), large, far, percent, level)
         scratch.append(at)
     for path in scratch:
         drop_path(spark, path)

@@ -85,9 +85,9 @@ def rows():
     return some_rows()
 
 
-@pytest.mark.parametrize("leaf", [op.LEAF, 2])
+@pytest.mark.parametrize("leaf", [op.LEAF, 16])
 def test_components_equal_all_pairs(spark, rows, leaf):
-    rows = rows if leaf > 2 else rows[60:150] + rows[-30:]      # many rounds: fewer rows
+    rows = rows if leaf == op.LEAF else rows[60:230] + rows[-30:]      # more rounds: fewer rows
     found = op.jaccard_components(frame(spark, rows), leaf=leaf)
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
     got = sorted((tuple(r) for r in found.collect()), key=repr)
@@ -119,6 +119,34 @@ def test_linked_sets_share_a_region():
                 assert np.intersect1d(rings.signatures(x), rings.signatures(y)).size
 
 
+def test_joining_links_of_one_region():
+    rnd = random.Random(7)
+    for _ in range(40):
+        base = rnd.sample(range(10**6), 60)
+        sets = [sorted(set(rnd.sample(base, rnd.randint(50, 60)) + rnd.sample(range(10**6), 2)))
+                for _ in range(rnd.randint(2, 25))]
+        grams = [np.array(s, dtype=np.int64) for s in sets]
+        labels = np.array([rnd.randint(0, 9) for _ in sets])
+        some = np.flatnonzero(labels > 4)
+        common = op.common_shingles(some, grams)
+        assert all(common[x, y] == len(set(sets[i]) & set(sets[y]))
+                   for x, i in enumerate(some) for y in range(len(sets)) if y != i)
+        links = op.joining_links(np.arange(len(sets)), labels, grams, 85)
+        assert all(100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))
+                   for a, b in links)
+
+        def parts(pairs):
+            top = {i: i for i in range(10)}
+            for a, b in pairs:
+                low, high = sorted((top[labels[a]], top[labels[b]]))
+                top = {k: low if v == high else v for k, v in top.items()}
+            return top
+        every = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(
+            set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))]
+        assert parts(links) == parts(every)
+        assert len(links) == 10 - len(set(parts(every).values()))
+
+
 def test_equal_hashes_of_unequal_sets_are_hashed_anew(spark, rows, monkeypatch):
     some, seeds = frame(spark, rows[:60]), []
     real = op.marked_sets
