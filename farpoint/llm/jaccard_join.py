@@ -24,7 +24,8 @@ Joining regions. All distances to pivots are exact.
    dealt to blocks, and every two blocks make up a region.
 3. Cells are joined recursively in the same way until they are one component, or hold at
    most ``LEAF`` sets and ``LEAF_GRAMS`` shingles. Such a region is joined in one task: sets
-   outside its largest component are compared with all, and joining links returned.
+   outside its largest component are compared with all, and joining links returned. Such
+   regions that share nodes are joined as one while that is small enough, too.
 
 A region of any size sends one row for each node and pivot, and one for each node and
 block if it can't be split otherwise: no pair is listed. Texts are read again for the sets
@@ -51,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_path, materialise_at
-from .common import LAST_ID, LOWER, UPPER, kept_in_worker, per_batch
+from .common import LAST_ID, LOWER, UPPER, fixed, kept_in_worker, per_batch
 from .components import components
 
 SHINGLE, PERCENT = 3, 90
@@ -214,6 +215,26 @@ def distinct_regions(members: DataFrame, sizes: DataFrame) -> DataFrame:
         F.min("region").alias("region")).drop("content")
 
 
+def leaf_rows(rest: DataFrame, small: DataFrame, sizes: DataFrame, leaf: int,
+              leaf_grams: int) -> DataFrame:
+    """(region, node, label) of the regions to join as leaves, overlapping ones united.
+
+    A node lies in many regions, and those of one cluster of copies hold about the same
+    nodes. Regions that share nodes become one, so each set is sent once, as long as what
+    they make up is still small enough for a leaf; else they stay as they are.
+    """
+    rows = rest.join(small, "region")
+    chains = components(rows.filter("node != a").select("node", "a").distinct().select(
+        F.col("node").alias("a"), F.col("a").alias("b"))).withColumnRenamed("component", "chain")
+    held = fixed(rows.select("node", "label").distinct().join(chains, "node").join(sizes, "node")
+                 .select("chain", "node", "label", "n"))
+    fits = (held.groupBy("chain").agg(F.count("*").alias("size"), F.sum("n").alias("grams"))
+            .filter((F.col("size") <= leaf) & (F.col("grams") <= leaf_grams)).select("chain"))
+    one = held.join(fits, "chain").select(F.col("chain").alias("region"), "node", "label")
+    apart = held.join(fits, "chain", "leftanti").select("node")
+    return one.union(rows.join(apart, "node", "leftsemi").select("region", "node", "label"))
+
+
 def common_shingles(some: np.ndarray, grams: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of ``some`` of the sets with all of them, by products of
     0/1 matrices over the shingles that two sets or more hold."""
@@ -330,12 +351,12 @@ def jaccard_links(docs: DataFrame, marked: DataFrame, shingle: int, percent: int
             break
         regions = kept(distinct_regions(rest, sizes), "pivots")
         fits = (F.col("size") <= leaf) & (F.col("grams") <= leaf_grams)
-        small = regions.filter(fits).select("region")
+        small = regions.filter(fits).select("region", "a")
         # two blocks fill half a leaf
         large = regions.filter(~fits).select("region", "a", "b", F.ceil(F.greatest(
             F.col("size") / (leaf / 4), F.col("grams") / (leaf_grams / 4))).alias("blocks"))
-        links.append(kept(leaf_links(rest.join(small, "region", "leftsemi"), sets, percent),
-                          "links"))
+        leaves = leaf_rows(rest, small, sizes, leaf, leaf_grams)
+        links.append(kept(leaf_links(leaves, sets, percent), "links"))
         if large.isEmpty():
             found = labels()
             break
