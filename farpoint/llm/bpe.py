@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .common import kept_in_worker, per_batch, texts_of
 
 END = "</w>"
-CACHE_WORDS = 400_000
+CACHE_WORDS, CACHE_IDS = 400_000, 1_200_000
 PIECE_CHARS = 1 << 20
 # Latin text below U+0180 is normalised and split by Python alone: there the normal form
 # is the text itself, lower-casing maps single characters, and these are the classes of
@@ -168,8 +168,8 @@ class WordBpe:
 class WordIds:
     """Id arrays of texts, gathered from flat arrays of the ids of words seen before."""
 
-    def __init__(self, bpe: WordBpe):
-        self.bpe = bpe
+    def __init__(self, bpe: WordBpe, cache_words: int = CACHE_IDS):
+        self.bpe, self.cache_words = bpe, cache_words
         self.forget()
 
     def forget(self) -> None:
@@ -192,7 +192,7 @@ class WordIds:
         for piece in pieces(texts):
             found = [self.bpe.words(t) for t in piece]
             new = set().union(*found).difference(self.code)
-            if len(self.code) + len(new) > self.bpe.cache_words:
+            if len(self.code) + len(new) > self.cache_words:
                 self.forget()
                 new = set().union(*found).difference(self.code)
             if new:

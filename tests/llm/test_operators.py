@@ -449,7 +449,7 @@ def test_written_rows_and_digests_of_the_packing_query(spark):
 def test_word_ids_with_a_small_cache(rows):
     from farpoint.llm.bpe import WordBpe, WordIds, vocabulary_text
     texts = [t or "" for _, t, _ in rows] + ["<|endoftext|> x <|startoftext|>y"]
-    small = WordIds(WordBpe(vocabulary_text(), cache_words=20))
+    small = WordIds(WordBpe(vocabulary_text()), cache_words=20)
     got = [i.tolist() for t in texts for i in small([t])]
     assert got == [ids for ids, _ in library_ids(texts)]
 
