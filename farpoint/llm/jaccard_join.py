@@ -224,8 +224,12 @@ def leaf_rows(rest: DataFrame, small: DataFrame, sizes: DataFrame, leaf: int,
     they make up is still small enough for a leaf; else they stay as they are.
     """
     rows = rest.join(small, "region")
-    chains = components(rows.filter("node != a").select("node", "a").distinct().select(
-        F.col("node").alias("a"), F.col("a").alias("b"))).withColumnRenamed("component", "chain")
+    # a node hangs on its smallest pivot only, and so do its other pivots: one link a node
+    low = fixed(rows.groupBy("node").agg(F.min("a").alias("b")))
+    chains = components(
+        low.select(F.col("node").alias("a"), "b")
+        .union(rows.select("node", "a").distinct().join(low, "node").select("a", "b"))
+        .filter("a != b").distinct()).withColumnRenamed("component", "chain")
     held = fixed(rows.select("node", "label").distinct().join(chains, "node").join(sizes, "node")
                  .select("chain", "node", "label", "n"))
     fits = (held.groupBy("chain").agg(F.count("*").alias("size"), F.sum("n").alias("grams"))
