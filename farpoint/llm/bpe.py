@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame
 from .common import kept_in_worker, per_batch, texts_of
 
 END = "</w>"
-CACHE_WORDS, CACHE_IDS = 400_000, 1_200_000
-PIECE_CHARS = 1 << 20
+# One worker for each core holds these tables at once, and keeps them for later tasks.
+CACHE_WORDS, CACHE_IDS = 100_000, 1_200_000
+PIECE_CHARS = 1 << 17
+SLICE_ROWS = 1000
 # Latin text below U+0180 is normalised and split by Python alone: there the normal form
 # is the text itself, lower-casing maps single characters, and these are the classes of
 # the file's pattern. Any other text takes the library's own normaliser and splitter.
@@ -83,16 +85,21 @@ class WordBpe:
         parsed = json.loads(spec)
         vocab, merges = parsed["model"]["vocab"], parsed["model"]["merges"]
         merges = [tuple(m) for m in merges]
-        self.normalizer = Tokenizer.from_str(spec).normalizer
+        bare = {**parsed, "model": {**parsed["model"], "vocab": {}, "merges": []},
+                "added_tokens": [], "post_processor": None}
+        self.normalizer = Tokenizer.from_str(json.dumps(bare)).normalizer
         split = parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.splitter = pre_tokenizers.Split(Regex(split), "removed", invert=True)
         self.final = Tokenizer(models.BPE(vocab, merges, end_of_word_suffix=END))
-        self.inside = Tokenizer(models.BPE(vocab, merges))
+        # a fragment before the word's end never makes a token that closes a word
+        self.inside = Tokenizer(models.BPE(
+            {t: i for t, i in vocab.items() if not t.endswith(END)},
+            [m for m in merges if not m[1].endswith(END)]))
         for part in (self.final, self.inside):
             part.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.inner, self.last = forced_pairs(vocab)
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
-        self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.names = {str(i): t for t, i in [*vocab.items(), *self.special.items()]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.symbols = byte_symbols()
         self.cache, self.cache_words = {}, cache_words
@@ -121,9 +128,9 @@ class WordBpe:
             yield [i for _ in parts[1:] for i in next(body)] + end
 
     def learn(self, words: list[str]) -> None:
-        """Encode words not seen before and remember them."""
+        """Encode words not seen before and remember their ids, joined by spaces."""
         for word, ids in zip(words, self.ids_of_words(words), strict=True):
-            self.cache[word] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+            self.cache[word] = " ".join(map(str, ids))
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; special tokens stand as themselves."""
@@ -144,25 +151,27 @@ class WordBpe:
         """For each text (number of ids, ids joined by spaces, decoded text)."""
         for piece in pieces(texts):
             found = [self.words(t) for t in piece]
-            new = set().union(*found).difference(self.cache, self.special)
+            wanted = set().union(*found).difference(self.special)
+            new = wanted.difference(self.cache)
             if len(self.cache) + len(new) > self.cache_words:
-                self.cache = {}
-                new = set().union(*found).difference(self.special)
+                self.cache = {w: self.cache[w] for w in wanted.difference(new)}
             self.learn(sorted(new))
-            known = self.cache | {w: (1, str(i), w) for w, i in self.special.items()} \
-                if any("<|" in t for t in piece) else self.cache
+            special = {w: str(i) for w, i in self.special.items()} \
+                if any("<|" in t for t in piece) else {}
             for words in found:
-                parts = [known[w] for w in words]
-                yield (sum(p[0] for p in parts), " ".join([p[1] for p in parts]),
-                       " ".join([p[2] for p in parts]))
+                if special and not special.keys().isdisjoint(words):
+                    ids = " ".join([special.get(w) or self.cache[w] for w in words])
+                else:
+                    ids = " ".join(map(self.cache.__getitem__, words))
+                yield ids.count(" ") + 1 if ids else 0, ids, self.decode(ids)
 
     def ids(self, text: str) -> list[int]:
         joined = next(self.encode_texts([text]))[1]
         return list(map(int, joined.split(" "))) if joined else []
 
-    def decode(self, ids: list[int]) -> str:
-        """The vocabulary strings joined by one space, special tokens included."""
-        return " ".join([self.names[i] for i in ids])
+    def decode(self, ids: str) -> str:
+        """The vocabulary strings of ids, all joined by one space, special tokens included."""
+        return " ".join(map(self.names.__getitem__, ids.split(" "))) if ids else ""
 
 
 class WordIds:
@@ -189,7 +198,7 @@ class WordIds:
         self.flat = np.r_[self.flat, np.array([i for f in found for i in f], dtype=np.int32)]
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for piece in pieces(texts):
+        for piece in pieces(texts, 8 * PIECE_CHARS):
             found = [self.bpe.words(t) for t in piece]
             new = set().union(*found).difference(self.code)
             if len(self.code) + len(new) > self.cache_words:
@@ -206,13 +215,13 @@ class WordIds:
                                 + np.arange(total)]
 
 
-def pieces(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive texts of about ``PIECE_CHARS`` characters together."""
+def pieces(texts: list[str], chars: int = PIECE_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts of about ``chars`` characters together."""
     piece, size = [], 0
     for text in texts:
         piece.append(text)
         size += len(text)
-        if size >= PIECE_CHARS:
+        if size >= chars:
             yield piece
             piece, size = [], 0
     if piece:
@@ -244,11 +253,13 @@ def encode_digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         bpe = kept_in_worker(("word-bpe", name), lambda: WordBpe(shared.value))
 
         def work(batch):
-            found = [(n, sha256(ids), sha256(tokens)) for n, ids, tokens in
-                     bpe.encode_texts(texts_of(batch))]
-            yield pa.RecordBatch.from_arrays(
-                [pc.cast(batch.column("doc_id"), pa.int64()),
-                 *map(pa.array, zip(*found, strict=True))],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(start, SLICE_ROWS)
+                found = [(n, sha256(ids), sha256(tokens)) for n, ids, tokens in
+                         bpe.encode_texts(texts_of(some))]
+                yield pa.RecordBatch.from_arrays(
+                    [pc.cast(some.column("doc_id"), pa.int64()),
+                     *map(pa.array, zip(*found, strict=True))],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         return work
     return per_batch(docs.select("doc_id", "text"), DIGEST, make)

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -366,6 +367,22 @@ def test_bpe_equals_the_library(docs, rows):
                                  bpe.sha256(decoded))
 
 
+def test_bpe_holds_little_memory():
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choices("abcdefghij", k=8)) for _ in range(2000))
+             for _ in range(80)]
+    encoder = bpe.WordBpe(bpe.vocabulary_text())
+    tracemalloc.start()
+    try:
+        for _ in encoder.encode_texts(texts):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 160,000 words, of which the cache holds as many as it may
+    assert 50_000 < len(encoder.cache) <= 100_000 and most < 32e6
+
+
 def test_forced_boundaries():
     vocabulary = json.loads(bpe.vocabulary_text())["model"]["vocab"]
     inner, last = bpe.forced_pairs(vocabulary)
