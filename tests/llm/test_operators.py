@@ -169,6 +169,34 @@ def test_substring_dedup_lists_large_buckets_elsewhere(docs):
     assert runs[0] == runs[1] and runs[0]
 
 
+def test_substring_dedup_deals_large_buckets_on(spark):
+    """One passage of 24 bytes in 40 surroundings, each twice: no string is listed by itself."""
+    rnd = random.Random(3)
+    side = lambda k: "".join(rnd.choices("abcdefgh", k=k))
+    around = [(side(40), side(40)) for _ in range(40)]
+    rows = [(i, f"{around[i % 40][0]}the passage all have 24!{around[i % 40][1]}", "", 0, "", 0)
+            for i in range(80)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    texts = substring_dedup.byte_texts(docs)
+    contents = spark.createDataFrame(
+        [(7, 30, t[10:90].encode(), i, i + 40) for i, t, *_ in rows[:40]],
+        "anchor long, at int, bytes binary, least long, most long")
+    written = []
+    found = substring_dedup.decided(contents, 50, 4, written)
+    assert written and "Inner" not in found._jdf.queryExecution().optimizedPlan().toString()
+    covered = {}
+    for r in found.collect():
+        ends = [*r["starts"][1:], 31]
+        for a, b, i in zip(r["starts"], ends, r["ids"], strict=True):
+            covered.setdefault(bytes(r["digest"]), {}).update(
+                {j: i for j in range(a, b) if i != 2**63 - 1})
+    assert covered == {substring_dedup.content_digest(7, t[10:90].encode()):
+                       dict.fromkeys(range(31), i) for i, t, *_ in rows[:40]}
+    gone = [{(r["id"], i) for r in substring_dedup.removed_runs(texts, 50, bucket).collect()
+             for s in r["runs"] for i in range(s["start"], s["end"])} for bucket in (4, 2048)]
+    assert gone[0] == gone[1] == {(d, i) for d in range(40, 80) for i in range(104)}
+
+
 def test_suffix_array():
     rnd = random.Random(2)
     for _ in range(400):
