@@ -9,7 +9,8 @@ the same model for the same data, seed and k.
 The fits read one written frame holding only the coordinate vector. Fits for
 different k are independent jobs, so on small tables they run from a few
 driver threads at once (``parallelism``); the winner is chosen in k order
-afterwards, so the result does not depend on it.
+afterwards, so the result does not depend on it. Bisecting fits of all k share their
+passes instead (``bisecting``).
 
 All models are scored together (``silhouettes``): one scan gathers the cluster sums of
 every k, a second one the mean silhouettes of every k, in place of two scans for each k.
@@ -27,6 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from .bisecting import fit_bisecting
 
 # Fixed values from the reference: k range, seed, algorithm names.
 K_MIN = 3
@@ -152,7 +154,10 @@ def search_k(frame: DataFrame, algorithm: str, k_min: int = K_MIN, k_max: int =
     if parallelism is None:
         parallelism = 1
     parallelism = min(parallelism, len(ks))
-    if parallelism > 1:
+    if algo == "bisectingkmeans":
+        shared = fit_bisecting(frame, ks, seed, features_col)
+        models = [shared[k] for k in ks]
+    elif parallelism > 1:
         # Threads inherit the caller's local properties (job group, pool),
         # so cancelling the caller's job group also cancels the search fits.
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
